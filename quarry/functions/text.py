@@ -13,6 +13,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _ASCII = r"^[\x00-\x7F]*$"
 
@@ -49,17 +50,17 @@ def tokens_plain(text: str) -> list[str]:
     return re.findall(r"[^\W_]+", kept)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfc(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else unicodedata.normalize("NFC", v))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _casefold(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else v.casefold())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unescape(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else html.unescape(v))
 
@@ -134,7 +135,7 @@ def technical_plain(text: str) -> str:
     return " ".join(word.casefold() for word in re.findall(r"[^\W_]+", text)) if found else ""
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _technical(values: pd.Series) -> pd.Series:
     return values.map(lambda v: technical_plain(v or ""))
 
