@@ -1,0 +1,102 @@
+"""Blocks and long texts into chunks of bounded size."""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Sequence
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quarry.runtime import ship
+from quarry.schema import BLOCK
+
+# Sizes in characters, and where a long text is cut, the latest of these places.
+MOST_CHARS, LEAST_CHARS, WIKI_LEAST = 3200, 300, 40
+CUTS = ("\n\n", "\n", ". ", "; ", ", ", " ")
+
+
+def split_oversized(text: str, most: int) -> list[str]:
+    """Cuts before the last separator in the second half of the allowed size, else hard."""
+    out, rest = [], text.strip()
+    while len(rest) > most:
+        places = [rest.rfind(mark, 0, most + 1) for mark in CUTS]
+        at = max((p for p in places if p >= most // 2), default=0) or most
+        out.append(rest[:at].strip())
+        rest = rest[at:].strip()
+    return [p for p in (*out, rest) if p]
+
+
+def chunk_blocks(blocks: Sequence[tuple], most: int = MOST_CHARS, least: int = LEAST_CHARS) -> list[tuple[list[str], str, dict]]:
+    """(headings, text, attributes). Neighbouring blocks under one heading are packed while their characters, the
+    last separator included, fit; a short tail joins the chunk before it if that has the same heading and room."""
+    groups: list[tuple[list[str], list[str], set[str], dict]] = []
+    full = True
+    for path, text, kind, attributes in blocks:
+        for part in split_oversized(text, most):
+            if full or groups[-1][0] != list(path) or sum(map(len, groups[-1][1])) + len(part) + 2 > most:
+                groups.append((list(path), [], set(), {}))
+            _, parts, kinds, known = groups[-1]
+            parts.append(part)
+            kinds.add(kind)
+            known.update(attributes or {})
+            full = len(part) >= most
+    if len(groups) > 1:
+        (a, before, kinds_a, known), (b, tail, kinds_b, _) = groups[-2:]
+        joined = "\n\n".join(before + tail)
+        if a == b and len("\n\n".join(tail)) < least and len(joined) <= most:
+            groups[-2:] = [(a, before + tail, kinds_a | kinds_b, known)]
+    return [(path, "\n\n".join(parts), {**known, "block_kinds": ",".join(sorted(kinds))}) for path, parts, kinds, known in groups]
+
+
+def split_sentences(text: str, most: int) -> list[str]:
+    """Sentences packed up to a size; longer ones are cut hard."""
+    if len(text) <= most:
+        return [text]
+    out: list[str] = []
+    room = 0
+    for sentence in filter(None, (s.strip() for s in re.split(r"(?<=[.!?])\s+", text))):
+        if len(sentence) > most:
+            out += [sentence[i : i + most] for i in range(0, len(sentence), most)]
+            room = 0
+        elif len(sentence) + 1 <= room:
+            out[-1] += " " + sentence
+            room -= len(sentence) + 1
+        else:
+            out.append(sentence)
+            room = most - len(sentence)
+    return out
+
+
+def chunk_section(text: str, most: int = MOST_CHARS, least: int = WIKI_LEAST) -> list[str]:
+    """Paragraphs packed up to a size; a very short tail joins its neighbour if there is room."""
+    out: list[str] = []
+    for paragraph in filter(None, (p.strip() for p in text.split("\n\n"))):
+        for part in split_sentences(paragraph, most):
+            if out and len(out[-1]) + 2 + len(part) <= most:
+                out[-1] += "\n\n" + part
+            else:
+                out.append(part)
+    if len(out) > 1 and len(out[-1]) < least and len(out[-2]) + 2 + len(out[-1]) <= most:
+        out[-2:] = ["\n\n".join(out[-2:])]
+    return out
+
+
+CHUNK = T.StructType([*BLOCK.fields[:2], T.StructField("attributes", T.MapType(T.StringType(), T.StringType()))])
+
+
+def chunk_column(docs: DataFrame, blocks: str = "blocks", most: int = MOST_CHARS, least: int = LEAST_CHARS) -> DataFrame:
+    """One row for each chunk of a column of blocks, with its ordinal."""
+    ship(docs.sparkSession)
+
+    @F.pandas_udf(T.ArrayType(CHUNK))
+    def run(values: pd.Series) -> pd.Series:
+        def one(rows):
+            found = [(b["heading_path"], b["text"], b["kind"], dict(b["attributes"] or {})) for b in (rows if rows is not None else [])]
+            return [dict(zip(("heading_path", "text", "attributes"), c, strict=True)) for c in chunk_blocks(found, most, least)]
+
+        return values.map(one)
+
+    return docs.select(*[c for c in docs.columns if c != blocks], F.posexplode(run(F.col(blocks))).alias("ordinal", "chunk")).select("*", "chunk.*").drop("chunk")
