@@ -154,6 +154,7 @@ def duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     rank = F.struct(-F.col("chars"), F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
     groups = maybe.groupBy("text_sha256").agg(F.count(F.lit(1)).alias("group_size"), F.min(rank).alias("best"))
     groups = groups.select("text_sha256", "group_size", F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row"))
+    groups = stored(groups, "dedup-groups")  # so that both sides of the join are dealt anew, and a large group is split
     repeated = maybe.join(groups, "text_sha256").select("doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256")
     alone = single.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
     return alone.unionByName(repeated)
