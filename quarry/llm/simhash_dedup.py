@@ -260,6 +260,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, tile_rows: int = TILE
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = named.join(smallest, "root").select("fp", "component_id")
     by_fp = distinct.join(named, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
+    by_fp = stored(by_fp, "components")  # so that both sides of the join are dealt anew, and a large group is split
     return signed.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
