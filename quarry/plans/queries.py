@@ -506,3 +506,77 @@ def contiguity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH o AS (SELECT DISTINCT page_id * 100 AS "offset" FROM pages) SELECT "offset", coalesce(lead("offset") OVER (ORDER BY "offset"), 10000000) AS "end" FROM o""")
 def block_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.block_spans(table(spark, sf_dir, "pages").select((F.col("page_id") * 100).alias("offset")), 10_000_000)
+
+
+# parsing and addresses
+
+
+_HREF = "list_transform(regexp_extract_all(html, '(?is)<(?:a|area)\\b[^>]*?\\bhref\\s*=\\s*[\"'']?([^\"''\\s>]+)', 1), lambda u: regexp_replace(u, '&amp;', '&', 'g'))"
+
+
+@query(f"SELECT page_id, len(l) AS n_links, array_to_string(l, ' ') AS targets FROM (SELECT page_id, {_HREF} AS l FROM pages)")
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.sources.files import links
+
+    return table(spark, sf_dir, "pages").select("page_id", links(F.col("html")).alias("l")).select("page_id", F.size("l").cast("long").alias("n_links"), F.array_join("l", " ").alias("targets"))
+
+
+@query("""WITH p AS (SELECT page_id, lower(regexp_extract(url, '(?i)^(https?)://([^/?#]+)([^?#]*)', 1) || '://' || regexp_extract(url, '(?i)^(https?)://([^/?#]+)([^?#]*)', 2)) AS h,
+regexp_replace(regexp_extract(url, '(?i)^(https?)://([^/?#]+)([^?#]*)', 3), '(?i)/index\\.html$', '/') AS path, url FROM pages)
+SELECT page_id, CASE WHEN regexp_matches(url, '(?i)^(https?)://([^/?#]+)([^?#]*)') THEN h || CASE WHEN path = '' THEN '/' ELSE path END END AS canonical FROM p""")
+def url_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.sources.files import canonical_url
+
+    return table(spark, sf_dir, "pages").select("page_id", canonical_url(F.col("url")).alias("canonical"))
+
+
+@query()
+def html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks of every page; a parser with state, which SQL cannot express."""
+    from quarry.sources.importers import html_blocks as blocks
+
+    ship(spark)
+    pages = table(spark, sf_dir, "pages").select("page_id", F.posexplode(blocks("html")).alias("block_index", "b"))
+    return pages.select("page_id", "block_index", "b.kind", F.array_join("b.heading_path", " > ").alias("heading"), "b.text")
+
+
+@query()
+def chunk_blocks_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's paragraphs as chunks of bounded size."""
+    from quarry.operators.chunking import chunk_column
+    from quarry.sources.files import parsed_column
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", parsed_column(spark, F.lit("document.txt"), F.col("text")).alias("p")).select("doc_id", F.col("p.blocks").alias("blocks"))
+    return chunk_column(docs).select("doc_id", "ordinal", "text", F.length("text").alias("character_count"))
+
+
+@query()
+def part_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of a thousand documents each, in order, into parts bounded by characters and number: a running sum that
+    starts anew, made for each archive."""
+    import pandas as pd
+
+    from quarry.operators.corpus import pack_parts
+
+    ship(spark)
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("doc_id")
+        return group.assign(part=pack_parts(group["n_chars"].tolist(), 50_000, 128))[["archive", "doc_id", "part"]]
+
+    docs = table(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / 1000).alias("archive"), "doc_id", "n_chars")
+    return docs.groupBy("archive").applyInPandas(run, "archive long, doc_id long, part long")
+
+
+@query("SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL")
+def windowed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An extension: the batch form of the streaming aggregate."""
+    from quarry.streaming.ingest import windowed_counts as counts
+
+    return counts(table(spark, sf_dir, "events"))
+
+
+@query("SELECT event_type, CAST(json_extract_string(props, '$.k') AS VARCHAR) AS k, count(*) AS n FROM events GROUP BY ALL")
+def attribute_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A member of an open JSON field as a column."""
+    return table(spark, sf_dir, "events").groupBy("event_type", F.get_json_object("props", "$.k").alias("k")).agg(F.count(F.lit(1)).alias("n"))

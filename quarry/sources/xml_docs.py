@@ -237,7 +237,8 @@ def registry_records(text: str) -> list[tuple[list[str], str, dict[str, list[str
     def visit(element: ET.Element, path: list[str]) -> None:
         title = next((squeeze(flat(t)) for t in _children(element, "title")), "") or element.get("id", "")
         here = [*path, title] if local(element) == "registry" else path
-        for place, child in enumerate(element):
+        place = 0
+        for child in element:
             if local(child) == "registry":
                 visit(child, here)
             elif local(child) == "record":
@@ -248,6 +249,7 @@ def registry_records(text: str) -> list[tuple[list[str], str, dict[str, list[str
                         if said not in fields[local(part)]:
                             fields[local(part)].append(said)
                 found.append((here, f"{'/'.join(here)}#{place}", fields))
+                place += 1
 
     visit(root, [])
     return found
