@@ -37,6 +37,7 @@ TILE_ROWS = 20_000
 SIDE = 17  # a quarter has 0 to 16 bits set
 CELLS = 1 << 21
 BLOCK = 1 << 15
+SALTS = 16
 
 
 def _hashes(words: list[bytes]) -> np.ndarray:
@@ -226,6 +227,14 @@ def links(fps: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> D
     return dealt.mapInArrow(_compare(radius), "a long, b long")
 
 
+def _spread_join(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the columns of ``table``, whose keys are unique. A key that many rows share, as the centre of a
+    star is, is dealt over several tasks."""
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)))
+    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<long>")))
+    return salted.join(copies, [key, "_salt"]).drop("_salt")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b) that is not its component's smallest."""
     turned = lambda e: e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
@@ -238,9 +247,9 @@ def components(edges: DataFrame) -> DataFrame:
     while before[0]:
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = turned(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
+        large = turned(_spread_join(both, least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least)
+        small = _spread_join(large, least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least)
         now = stored(turned(small), "links")
         after = mark(now)
         if after == before:
@@ -258,7 +267,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, tile_rows: int = TILE
     linked = roots.union(roots.select(F.col("root"), F.col("root")).distinct()).select(F.col("node").alias("fp"), "root")
     named = linked.join(distinct, "fp")
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = named.join(smallest, "root").select("fp", "component_id")
+    named = _spread_join(named, smallest, "root").select("fp", "component_id")
     by_fp = distinct.join(named, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
     by_fp = stored(by_fp, "components")  # so that both sides of the join are dealt anew, and a large group is split
     return signed.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
