@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from quarry.runtime import ship, shuffle_partitions
 
 BLOCK_BYTES = 1 << 23
-MOST_KEPT = 500_000
+MOST_KEPT = 200_000
 
 
 @functools.cache
