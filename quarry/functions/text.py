@@ -35,7 +35,8 @@ _MARKED, _PLAIN = _accents()
 
 def fold(text: Column) -> Column:
     """Small letters without marks; ``ß`` and other letters that do not decompose stay."""
-    return F.translate(F.regexp_replace(F.lower(text), r"\p{Mn}+", ""), _MARKED, _PLAIN)
+    small = F.lower(text)
+    return F.when(text.rlike(_ASCII), small).otherwise(F.translate(F.regexp_replace(small, r"\p{Mn}+", ""), _MARKED, _PLAIN))
 
 
 def tokens(text: Column) -> Column:

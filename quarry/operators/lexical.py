@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import TECHNICAL_NAMES, technical_normalized, technical_plain, tokens, tokens_plain
-from quarry.runtime import ship
+from quarry.runtime import ship, stored
 
 # The ranking function's parameters and the weights of the fields.
 K1, B, LEAST_IDF = 1.2, 0.75, 1e-6
@@ -80,6 +80,11 @@ class Index:
     def cache(self) -> Index:
         return Index(self.postings.cache(), self.lengths.cache(), self.corpus.cache())
 
+    def store(self) -> Index:
+        """Written to the shared folder and read again, so that no later step tokenises anew."""
+        lengths = stored(self.lengths, "lengths")
+        return Index(stored(self.postings, "postings"), lengths, corpus_figures(lengths))
+
 
 def field_tokens(chunks: DataFrame, fields: dict[str, str | Column]) -> DataFrame:
     """(row_id, field, words): one row for each field of a chunk."""
@@ -87,22 +92,29 @@ def field_tokens(chunks: DataFrame, fields: dict[str, str | Column]) -> DataFram
     return chunks.select("row_id", F.inline(F.array(*named)))
 
 
-def build_index(chunks: DataFrame, fields: dict[str, str | Column] | None = None) -> Index:
-    """``chunks`` has row_id and the fields' columns; by default title, heading and text, and the technical names of all three."""
+def build_index(chunks: DataFrame, fields: dict[str, str | Column] | None = None, terms: DataFrame | None = None) -> Index:
+    """``chunks`` has row_id and the fields' columns; by default title, heading and text, and the technical names of all
+    three. With ``terms``, the postings of other terms are left out before they are gathered: for a batch of queries
+    against chunks that have no stored index."""
     if fields is None:
         ship(chunks.sparkSession)
         everything = F.concat_ws(" ", "title", "heading", "text")
         chunks = chunks.withColumn("technical", technical_normalized(everything))
         fields = {name: name for name in WEIGHTS}
     found = field_tokens(chunks, fields)
+    places = found.select("row_id", "field", F.posexplode("words").alias("pos", "term"))
+    if terms is not None:
+        places = places.join(terms.select("term").distinct(), "term", "left_semi")
     postings = (
-        found.select("row_id", "field", F.posexplode("words").alias("pos", "term"))
-        .groupBy("term", "row_id", "field")
+        places.groupBy("term", "row_id", "field")
         .agg(F.count(F.lit(1)).alias("tf"), F.array_sort(F.collect_list("pos")).alias("positions"))
     )
     lengths = found.groupBy("row_id").agg(F.sum(F.size("words")).alias("dl"))
-    corpus = lengths.agg(F.count(F.lit(1)).alias("n"), (F.sum("dl") / F.count(F.lit(1))).alias("avgdl"))
-    return Index(postings, lengths, corpus)
+    return Index(postings, lengths, corpus_figures(lengths))
+
+
+def corpus_figures(lengths: DataFrame) -> DataFrame:
+    return lengths.agg(F.count(F.lit(1)).alias("n"), (F.sum("dl") / F.count(F.lit(1))).alias("avgdl"))
 
 
 def _weight(field: Column, weights: dict[str, float]) -> Column:

@@ -128,8 +128,10 @@ def technical_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FIELDS = {"title": "title", "heading": "heading", "text": "text"}
 
 
-def _plain_index(spark: SparkSession, sf_dir: str) -> lexical.Index:
-    return lexical.build_index(text_chunks(spark, sf_dir), _FIELDS)
+def _plain_index(spark: SparkSession, sf_dir: str, terms: DataFrame | None = None) -> lexical.Index:
+    """For a batch of queries: the postings of their terms, stored."""
+    index = lexical.build_index(text_chunks(spark, sf_dir), _FIELDS, terms)
+    return index if terms is None else index.store()
 
 
 def _bm25_sql(mode: str, limit: int = 10, words: int = 3) -> str:
@@ -157,7 +159,8 @@ SELECT item_id AS query_id, doc_id AS row_id, round(score, 6) AS score, rank FRO
 
 
 def _bm25(spark: SparkSession, sf_dir: str, mode: str, limit: int = 10) -> DataFrame:
-    found = lexical.search(_plain_index(spark, sf_dir), benchmark_terms(spark, sf_dir, mode), limit)
+    terms = benchmark_terms(spark, sf_dir, mode)
+    found = lexical.search(_plain_index(spark, sf_dir, terms), terms, limit)
     return found.select("query_id", "row_id", F.round("raw_score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
@@ -174,7 +177,8 @@ def bm25_and(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def bm25_four_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With the field of technical names; held against SQLite's own ranking in the tests."""
-    found = lexical.search(lexical.build_index(text_chunks(spark, sf_dir)), benchmark_terms(spark, sf_dir, "or"), 10)
+    terms = benchmark_terms(spark, sf_dir, "or")
+    found = lexical.search(lexical.build_index(text_chunks(spark, sf_dir), terms=terms).store(), terms, 10)
     return found.select("query_id", "row_id", F.round("raw_score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
@@ -190,8 +194,8 @@ r AS (SELECT item_id, doc_id, -(CASE WHEN ln((n - df + 0.5) / (df + 0.5)) <= 0 T
 k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 9), doc_id) AS rank FROM r)
 SELECT item_id AS query_id, doc_id AS row_id, round(score, 6) AS score, rank FROM k WHERE rank <= 10""")
 def bm25_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = lexical.build_index(text_chunks(spark, sf_dir), {"text": "text"})
     pairs = benchmark_terms(spark, sf_dir, "phrase", 2)
+    index = lexical.build_index(text_chunks(spark, sf_dir), {"text": "text"}, pairs).store()
     whole = pairs.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where("n = 2")
     found = lexical.search(index, pairs.join(whole.select("query_id"), "query_id", "left_semi"), 10)
     return found.select("query_id", "row_id", F.round("raw_score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
@@ -214,7 +218,8 @@ def query_relaxation(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.plans.search import search_documents
 
     rows = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.slice(lexical.plan_terms(F.col("text")), 1, 8).alias("terms"))
-    found = search_documents(_plain_index(spark, sf_dir), rows, text_chunks(spark, sf_dir), limit=5)
+    index = _plain_index(spark, sf_dir, rows.select(F.explode("terms").alias("term")))
+    found = search_documents(index, rows, text_chunks(spark, sf_dir), limit=5)
     return found.select("query_id", "document_id", F.round("fusion_score", 9).alias("fusion_score"), "position", "relaxed", "matched_variants")
 
 
