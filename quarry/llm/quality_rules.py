@@ -26,6 +26,7 @@ SPACE = "[ \\t-\\r]"
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
+SAMPLE_ROWS, SAMPLE_BYTES = 1000, 1 << 15
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -145,10 +146,12 @@ class Estimate:
         return self.rejected / max(self.seconds, 1e-6)
 
 
-def estimate(docs: DataFrame, rules: list[Rule], sample_rows: int = 2000, text: str = "text") -> list[Estimate]:
-    """Cost and share of rejections of each rule on at most ``sample_rows`` rows (a sample for the plan only: it
-    decides the order of the rules, and all rows are judged by all rules)."""
-    sample = stored(docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).limit(sample_rows), "quality-sample")
+def estimate(docs: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS, text: str = "text") -> list[Estimate]:
+    """Cost and share of rejections of each rule on at most ``sample_rows`` rows of at most ``SAMPLE_BYTES`` each (a
+    sample for the plan only: it decides the order of the rules, and all rows are judged by all rules). Rows are
+    taken from as few partitions as hold them."""
+    short = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).where(F.octet_length("text") <= SAMPLE_BYTES)
+    sample = stored(docs.sparkSession.createDataFrame(short.take(sample_rows), "text string"), "quality-sample")
 
     def timed(column: Column) -> tuple[float, float]:
         began = time.perf_counter()
@@ -178,7 +181,7 @@ def cascade(rules: list[Rule], text: Column) -> Column:
     return F.lit(None).cast("string") if column is None else column.otherwise(F.lit(None).cast("string"))
 
 
-def judge(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text", sample_rows: int = 2000) -> DataFrame:
+def judge(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """``docs`` with ``failed_rule`` (null: the text stays)."""
     rules = rules or default_rules()
     ordered = order(rules, estimate(docs, rules, sample_rows, text))
@@ -194,7 +197,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     ).drop("_counts")
 
 
-def report(docs: DataFrame, sample_rows: int = 2000) -> DataFrame:
+def report(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """One row per document: the counts, whether the base rules fail, and the verdict of the whole cascade.
 
     The base rules read the counts that are there already; the cascade of the other rules runs only for rows that
