@@ -160,11 +160,11 @@ def _collected(docs: DataFrame) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     ship(docs.sparkSession)
     order = F.xxhash64("doc_id")
-    trusted = labels.where((F.col("quality") == 1) & ~held_out(F.col("doc_id"))).select("doc_id").distinct().orderBy(order, "doc_id").limit(sample_rows)
-    positive = _collected(docs.select("doc_id", "text").join(F.broadcast(trusted), "doc_id", "left_semi").limit(sample_rows))
+    trusted = labels.where((F.col("quality") == 1) & ~held_out(F.col("doc_id"))).select("doc_id").orderBy(order, "doc_id").limit(sample_rows).distinct()
+    positive = _collected(docs.select("doc_id", "text").join(F.broadcast(trusted), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     seen = docs.where(~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("doc_id"))
-    taken = seen.distinct().orderBy(F.xxhash64(F.col("doc_id"), F.lit(1)), "doc_id").limit(sample_rows)
-    unlabelled = _collected(docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id", "left_semi").limit(sample_rows))
+    taken = seen.orderBy(F.xxhash64(F.col("doc_id"), F.lit(1)), "doc_id").limit(sample_rows).distinct()
+    unlabelled = _collected(docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     return fit(positive, unlabelled)
 
 
