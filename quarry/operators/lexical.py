@@ -7,12 +7,13 @@ row, and the best rows of each query are kept with a ranking window, which Spark
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.text import TECHNICAL_NAMES, technical_normalized, technical_plain, tokens, tokens_plain
+from quarry.functions.text import technical_normalized, technical_plain, tokens, tokens_plain
 from quarry.runtime import ship, stored
 
 # The ranking function's parameters and the weights of the fields.
@@ -25,7 +26,6 @@ STOP_WORDS = (
     "was were what when where which who why"
 ).split()
 MODES = ("and", "or", "phrase", "exact")
-__all__ = ["Index", "QueryPlan", "TECHNICAL_NAMES", "build_index", "plan_queries", "plan_query", "search"]
 
 
 @dataclass(frozen=True)
@@ -43,8 +43,6 @@ def plan_query(query: str, mode: str = "and") -> QueryPlan:
     if technical:
         terms = technical.split()
     else:
-        import re
-
         terms = [t.casefold() for t in re.findall(r"[^\W_]+", query)]
     if not terms:
         raise ValueError("the query has no searchable term")

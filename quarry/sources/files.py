@@ -17,10 +17,11 @@ from quarry.sources import markup, xml_docs
 # Suffixes of documentation, and folders and files that hold none.
 SUFFIXES = {
     ".html": markup.parse_html, ".htm": markup.parse_html, ".xhtml": markup.parse_html, ".md": markup.parse_markdown, ".mdx": markup.parse_markdown, ".markdown": markup.parse_markdown,
-    ".rst": markup.parse_rst, ".adoc": markup.parse_asciidoc, ".asciidoc": markup.parse_asciidoc, ".pod": markup.parse_pod, ".go": markup.parse_go, ".txt": markup.parse_text,
+    ".rst": markup.parse_rst, ".adoc": markup.parse_asciidoc, ".asciidoc": markup.parse_asciidoc, ".pod": markup.parse_pod, ".go": markup.parse_go, ".txt": markup.parse_text, ".man": markup.parse_man, ".roff": markup.parse_man,
     ".cnxml": xml_docs.parse_cnxml, ".wiki": markup.parse_wiki,
 }
-IGNORED_FOLDERS = [".git", ".github", "__pycache__", "node_modules"]
+IGNORED_FOLDERS = [".git", ".hg", ".svn", "node_modules", "_static", "_sources"]
+IGNORED_FILES = ["search.html", "genindex.html", "py-modindex.html"]
 
 
 def parser_for(path: str, text: str):
@@ -89,6 +90,7 @@ def read_tree(spark: SparkSession, root: str, include: str = ".*", exclude: str
     relative = F.regexp_extract("path", f"{prefix}/(.*)$", 1)
     known = "|".join(re.escape(s) for s in (*SUFFIXES, ".xml", ".in", ".en"))
     kept = relative.rlike(f"(?i)(?:{known}|\\.\\d[a-z]*)$") & relative.rlike(include) & ~relative.rlike(f"(?:^|/)(?:{'|'.join(map(re.escape, IGNORED_FOLDERS))})/")
+    kept = kept & ~relative.rlike(f"(?i)(?:^|/)(?:{'|'.join(map(re.escape, IGNORED_FILES))})$")
     if exclude:
         kept = kept & ~relative.rlike(exclude)
     return files.where(kept).select("path", relative.alias("relative"), "content", F.sha2("content", 256).alias("sha256"))
