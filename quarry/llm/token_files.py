@@ -176,6 +176,8 @@ def _written(folder: str, tokenizer: str, end_id: int, frame_tokens: int):
         if writer is not None:
             writer.close()
             out.close()
+            if fs.get_file_info(f"{root}/{name}").type != pafs.FileType.NotFound:  # of an earlier attempt; not all stores replace
+                fs.delete_file(f"{root}/{name}")
             fs.move(own, f"{root}/{name}")
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([name]), pa.array([len(writer.frames)], pa.int32()), pa.array([writer.documents], pa.int64()), pa.array([writer.tokens], pa.int64())], names=["part", "file", "frames", "documents", "tokens"])
 
