@@ -232,7 +232,7 @@ def _spread_join(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
     star is, is dealt over several tasks."""
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)))
     copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<long>")))
-    return salted.join(copies, [key, "_salt"]).drop("_salt")
+    return salted.join(copies.hint("merge"), [key, "_salt"]).drop("_salt")  # never broadcast: the copies outgrow their estimate
 
 
 def components(edges: DataFrame) -> DataFrame:
