@@ -25,6 +25,7 @@ STOP_WORDS = (
     "a about an are be been being did do does how is instructions me of preparation prepare preparing recipe tell the "
     "was were what when where which who why"
 ).split()
+MOST_TERMS = 1 << 17  # terms of one block of queries: what is sent to every task
 MODES = ("and", "or", "phrase", "exact")
 
 
@@ -135,17 +136,27 @@ def match_terms(index: Index, terms: DataFrame, weights: dict[str, float] = WEIG
     """AND and OR queries: (query_id, row_id, raw_score). ``terms`` has query_id, mode, pos, term; a term given twice
     counts twice. Lower is better."""
     wanted = terms.where(F.col("mode").isin("and", "or"))
+    # dealt by row once: frequencies and the sums of all queries are then made where the row lies
     per_row = (
         index.postings.join(wanted.select("term").distinct(), "term")
+        .select("term", "row_id", "field", "tf")
+        .repartition("row_id")
         .groupBy("term", "row_id")
         .agg(F.sum(_weight(F.col("field"), weights) * F.col("tf")).alias("f"))
     )
-    spread = per_row.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    spread = per_row.groupBy("term").agg(F.count("f").alias("df"))  # of f, so that it reads the same shuffle
     sizes = wanted.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_terms"))
-    weighted = wanted.join(spread, "term").crossJoin(F.broadcast(index.corpus)).select("query_id", "mode", "pos", "term", "avgdl", _idf(F.col("n"), F.col("df")).alias("idf"))  # the corpus is one row
-    hits = per_row.join(weighted, "term").join(index.lengths, "row_id")
-    found = hits.groupBy("query_id", "mode", "row_id").agg(F.sum(_score(F.col("idf"), F.col("f"))).alias("raw_score"), F.count(F.lit(1)).alias("matched"))
-    return found.join(sizes, "query_id").where((F.col("mode") == "or") | (F.col("matched") == F.col("n_terms"))).select("query_id", "row_id", "raw_score")
+    weighted = wanted.join(spread, "term").join(sizes, "query_id").crossJoin(F.broadcast(index.corpus)).select("query_id", "mode", "n_terms", "term", "avgdl", _idf(F.col("n"), F.col("df")).alias("idf"))  # the corpus is one row
+    known = per_row.join(index.lengths, "row_id")
+    blocks = max(1, -(-wanted.count() // MOST_TERMS))
+    out = None
+    for k in range(blocks):
+        block = weighted.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == k)
+        hits = known.join(F.broadcast(block), "term")
+        found = hits.groupBy("query_id", "mode", "n_terms", "row_id").agg(F.sum(_score(F.col("idf"), F.col("f"))).alias("raw_score"), F.count(F.lit(1)).alias("matched"))
+        found = found.where((F.col("mode") == "or") | (F.col("matched") == F.col("n_terms"))).select("query_id", "row_id", "raw_score")
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def match_phrases(index: Index, terms: DataFrame, weights: dict[str, float] = WEIGHTS) -> DataFrame:

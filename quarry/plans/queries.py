@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import ranking, text, vectors
 from quarry.operators import citations, corpus, evaluation, fusion, lexical, semantic
-from quarry.plans.tables import benchmark_terms, table, text_chunks, turn_chunks
+from quarry.plans.tables import QUERY_WORDS, benchmark_terms, table, text_chunks, turn_chunks
 from quarry.runtime import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,7 +134,7 @@ def _plain_index(spark: SparkSession, sf_dir: str, terms: DataFrame | None = Non
     return index if terms is None else index.store()
 
 
-def _bm25_sql(mode: str, limit: int = 10, words: int = 3) -> str:
+def _bm25_sql(mode: str, limit: int = 10, words: int | None = 3) -> str:
     return f"""
 WITH f AS (
   SELECT doc_id, 5.0 AS w, {tokens_sql("coalesce(source, '')")} AS t FROM documents UNION ALL
@@ -143,7 +143,7 @@ WITH f AS (
 ), dl AS (SELECT doc_id, sum(len(t)) AS dl FROM f GROUP BY doc_id),
 s AS (SELECT count(*) AS n, sum(dl) / count(*) AS avgdl FROM dl),
 plan AS (
-  SELECT item_id, (CASE WHEN len(k) > 0 THEN k ELSE t END)[1:{words}] AS terms FROM (
+  SELECT item_id, (CASE WHEN len(k) > 0 THEN k ELSE t END){'' if words is None else f'[1:{words}]'} AS terms FROM (
     SELECT item_id, t, list_filter(t, lambda x: NOT list_contains({_STOP}, x)) AS k FROM (SELECT item_id, {tokens_sql('text')} AS t FROM benchmark))
 ), q AS (SELECT item_id, unnest(terms) AS term, generate_subscripts(terms, 1) AS pos FROM plan),
 p AS (SELECT term, doc_id, sum(w) AS f FROM (SELECT doc_id, w, unnest(t) AS term FROM f) WHERE term IN (SELECT term FROM q) GROUP BY term, doc_id),
@@ -158,8 +158,8 @@ h AS (
 SELECT item_id AS query_id, doc_id AS row_id, round(score, 6) AS score, rank FROM r WHERE rank <= {limit}"""
 
 
-def _bm25(spark: SparkSession, sf_dir: str, mode: str, limit: int = 10) -> DataFrame:
-    terms = benchmark_terms(spark, sf_dir, mode)
+def _bm25(spark: SparkSession, sf_dir: str, mode: str, limit: int = 10, words: int | None = QUERY_WORDS) -> DataFrame:
+    terms = benchmark_terms(spark, sf_dir, mode, words)
     found = lexical.search(_plain_index(spark, sf_dir, terms), terms, limit)
     return found.select("query_id", "row_id", F.round("raw_score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
@@ -174,10 +174,21 @@ def bm25_and(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bm25(spark, sf_dir, "and")
 
 
+@query(_bm25_sql("or", words=None))
+def bm25_or_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every term of every passage."""
+    return _bm25(spark, sf_dir, "or", words=None)
+
+
+@query(_bm25_sql("and", words=None))
+def bm25_and_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bm25(spark, sf_dir, "and", words=None)
+
+
 @query()
 def bm25_four_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With the field of technical names; held against SQLite's own ranking in the tests."""
-    terms = benchmark_terms(spark, sf_dir, "or")
+    terms = benchmark_terms(spark, sf_dir, "or", None)
     found = lexical.search(lexical.build_index(text_chunks(spark, sf_dir), terms=terms).store(), terms, 10)
     return found.select("query_id", "row_id", F.round("raw_score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
@@ -201,6 +212,23 @@ def bm25_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "row_id", F.round("raw_score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
+@query(f"""
+WITH t AS (SELECT doc_id, {tokens_sql("coalesce(text, '')")} AS t FROM documents),
+plan AS (SELECT item_id, p, len(p) AS n FROM (SELECT item_id, {tokens_sql("coalesce(text, '')")} AS p FROM benchmark) WHERE len(p) > 0),
+s AS (SELECT count(*) AS n_docs, sum(len(t)) / count(*) AS avgdl FROM t),
+c AS (SELECT item_id, doc_id, t, p, n FROM plan JOIN t ON contains(' ' || array_to_string(t, ' ') || ' ', ' ' || array_to_string(p, ' ') || ' ')),
+h AS (SELECT item_id, doc_id, len(t) AS dl, len(list_filter(range(1, len(t) - n + 2), lambda i: t[i:i + n - 1] = p)) AS f, count(*) OVER (PARTITION BY item_id) AS df FROM c),
+r AS (SELECT item_id, doc_id, -(CASE WHEN ln((n_docs - df + 0.5) / (df + 0.5)) <= 0 THEN 1e-6 ELSE ln((n_docs - df + 0.5) / (df + 0.5)) END) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * dl / avgdl)) AS score FROM h, s),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 9), doc_id) AS rank FROM r)
+SELECT item_id AS query_id, doc_id AS row_id, round(score, 6) AS score, rank FROM k WHERE rank <= 10""")
+def bm25_phrase_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole passages as phrases, stop words and all."""
+    terms = benchmark_terms(spark, sf_dir, "phrase", None)
+    index = lexical.build_index(text_chunks(spark, sf_dir), {"text": "text"}, terms).store()
+    found = lexical.search(index, terms, 10)
+    return found.select("query_id", "row_id", F.round("raw_score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
+
+
 @query("""WITH asked AS (SELECT DISTINCT source AS query_id, lower(source) AS asked FROM documents),
 m AS (SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY doc_id) AS k FROM asked JOIN documents ON lower(source) = asked)
 SELECT query_id, doc_id AS row_id FROM m WHERE k = 1""")
@@ -214,10 +242,10 @@ def title_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def query_relaxation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AND queries of eight terms, with their relaxed variants in one plan."""
+    """AND queries of whole passages, with their relaxed variants in one plan."""
     from quarry.plans.search import search_documents
 
-    rows = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.slice(lexical.plan_terms(F.col("text")), 1, 8).alias("terms"))
+    rows = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), lexical.plan_terms(F.col("text")).alias("terms"))
     index = _plain_index(spark, sf_dir, rows.select(F.explode("terms").alias("term")))
     found = search_documents(index, rows, text_chunks(spark, sf_dir), limit=5)
     return found.select("query_id", "document_id", F.round("fusion_score", 9).alias("fusion_score"), "position", "relaxed", "matched_variants")
@@ -335,16 +363,19 @@ def route_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asked.select("item_id", retrieval.alias("retrieval"))
 
 
-@query(f"""WITH bm25 AS ({_bm25_sql('or', 20)}),
+def _rerank_sql(words: int | None = 3) -> str:
+    return f"""WITH bm25 AS ({_bm25_sql('or', 20, words)}),
 q AS (SELECT item_id, {_QTOK.format('text')} AS t FROM benchmark),
 m AS (SELECT item_id, list_distinct(CASE WHEN len(k) > 0 THEN k ELSE t END) AS w FROM (SELECT item_id, t, list_filter(t, lambda x: NOT list_contains({_RSTOP}, x)) AS k FROM q)),
 c AS (SELECT b.query_id, b.row_id, b.rank, w, 1.0 / (60 + b.rank) AS base, {_QTOK.format('source')} AS ti, {_QTOK.format('lang')} AS he, {_QTOK.format('text')} AS te
       FROM bm25 b JOIN m ON m.item_id = b.query_id JOIN documents d ON d.doc_id = b.row_id),
 s AS (SELECT query_id, row_id, rank, base + least(0.0015, 0.008 * len(list_intersect(w, ti)) / len(w) + 0.004 * len(list_intersect(w, he)) / len(w) + 0.0015 * len(list_intersect(w, te)) / len(w)) AS score FROM c),
 p AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, rank) AS place FROM s)
-SELECT query_id, row_id AS document_id, round(score, 9) AS rerank_score, place AS rerank_position FROM p WHERE place <= 10""")
-def rerank_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = _bm25(spark, sf_dir, "or", 20)
+SELECT query_id, row_id AS document_id, round(score, 9) AS rerank_score, place AS rerank_position FROM p WHERE place <= 10"""
+
+
+def _rerank(spark: SparkSession, sf_dir: str, words: int | None = QUERY_WORDS) -> DataFrame:
+    ranked = _bm25(spark, sf_dir, "or", 20, words)
     asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.regexp_replace(F.lower("text"), r"[0-9_.:-]", " ").alias("unnamed"), F.col("text").alias("query"))
     rows = ranked.join(asked, "query_id").join(text_chunks(spark, sf_dir).select("row_id", "title", "heading", "text"), "row_id")
     rows = rows.select("query_id", F.col("row_id").alias("document_id"), F.col("rank").alias("position"), (1 / (fusion.RRF_K + F.col("rank"))).alias("base_score"), "title", "heading", "text", "query", F.lit(False).alias("dual"), F.lit(False).alias("exact_title"), F.lit("docs").alias("corpus"))
@@ -352,10 +383,20 @@ def rerank_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "document_id", F.round("rerank_score", 9).alias("rerank_score"), F.col("rerank_position").cast("long").alias("rerank_position"))
 
 
+@query(_rerank_sql())
+def rerank_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rerank(spark, sf_dir)
+
+
+@query(_rerank_sql(None))
+def rerank_evidence_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rerank(spark, sf_dir, None)
+
+
 @query()
 def evidence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best twenty passages of each query, near copies set aside; order decides, so SQL cannot express it."""
-    ranked = _bm25(spark, sf_dir, "or", 20).select("query_id", F.col("rank").alias("position"), "row_id")
+    ranked = _bm25(spark, sf_dir, "or", 20, None).select("query_id", F.col("rank").alias("position"), "row_id")
     texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), "text")
     rows = ranked.join(texts, "row_id").select("query_id", "position", F.col("row_id").cast("string").alias("document_id"), text.content_id(F.col("text")).alias("content_id"), "text")
     return fusion.deduplicate_ranked(rows).withColumn("alternates", F.array_join("alternates", ","))
