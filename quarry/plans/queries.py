@@ -266,22 +266,51 @@ _TOP = f"""WITH v AS ({_UNIT}), s AS (SELECT q.vec_id AS query_id, v.vec_id, v.l
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, vec_id) AS rank FROM s)"""
 
 
-def _vector_top(spark: SparkSession, sf_dir: str, limit: int) -> DataFrame:
-    """The queries are the vectors with ids below 100, against all vectors."""
+_DUE = "vec_id % 50 = 0"
+_TOP_DUE = _TOP.replace("q.vec_id < 100", f"q.{_DUE}")
+
+
+def _vector_top(spark: SparkSession, sf_dir: str, limit: int, due: str = "vec_id < 100") -> DataFrame:
+    """The queries are the vectors that are ``due``, by default those with ids below 100, against all vectors."""
     every = table(spark, sf_dir, "embeddings")
-    return semantic.top_k(every, every.where("vec_id < 100").select(F.col("vec_id").alias("query_id"), "embedding"), limit)
+    return semantic.top_k(every, every.where(due).select(F.col("vec_id").alias("query_id"), "embedding"), limit)
+
 
+_TOP_TEN = " SELECT query_id, vec_id, round(score, 6) AS score, rank FROM r WHERE rank <= 10"
 
-@query(_TOP + " SELECT query_id, vec_id, round(score, 6) AS score, rank FROM r WHERE rank <= 10")
+
+@query(_TOP + _TOP_TEN)
 def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _vector_top(spark, sf_dir, 10).select("query_id", "vec_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
+    return _topk(spark, sf_dir)
+
+
+@query(_TOP_DUE + _TOP_TEN)
+def vector_topk_due(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fiftieth vector as a query, in blocks."""
+    return _topk(spark, sf_dir, _DUE)
 
 
-@query(_TOP + """, b AS (SELECT *, row_number() OVER (PARTITION BY query_id, label ORDER BY rank) AS k FROM r WHERE rank <= 256),
+def _topk(spark: SparkSession, sf_dir: str, due: str = "vec_id < 100") -> DataFrame:
+    return _vector_top(spark, sf_dir, 10, due).select("query_id", "vec_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
+
+
+_BEST = """, b AS (SELECT *, row_number() OVER (PARTITION BY query_id, label ORDER BY rank) AS k FROM r WHERE rank <= 256),
 c AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rank) AS place FROM b WHERE k = 1)
-SELECT query_id, vec_id, label, place AS rank FROM c WHERE place <= 4""")
+SELECT query_id, vec_id, label, place AS rank FROM c WHERE place <= 4"""
+
+
+@query(_TOP + _BEST)
 def vector_best_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pool = _vector_top(spark, sf_dir, 256).join(table(spark, sf_dir, "embeddings").select("vec_id", "label"), "vec_id")
+    return _best_groups(spark, sf_dir)
+
+
+@query(_TOP_DUE + _BEST)
+def vector_best_per_group_due(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _best_groups(spark, sf_dir, _DUE)
+
+
+def _best_groups(spark: SparkSession, sf_dir: str, due: str = "vec_id < 100") -> DataFrame:
+    pool = _vector_top(spark, sf_dir, 256, due).join(table(spark, sf_dir, "embeddings").select("vec_id", "label"), "vec_id")
     return semantic.best_per_group(pool, "label", 4).select("query_id", "vec_id", "label", F.col("rank").cast("long").alias("rank"))
 
 
@@ -303,25 +332,27 @@ def vector_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ROUTED = f"bm25 AS ({_bm25_sql('or', 50)}), vec AS ({_TOP} SELECT query_id, vec_id AS row_id, rank FROM r WHERE rank <= 50)"
+_ROUTED_WHOLE = f"bm25 AS ({_bm25_sql('or', 50, None)}), vec AS ({_TOP_DUE} SELECT query_id, vec_id AS row_id, rank FROM r WHERE rank <= 50)"
 
 
-def _rankings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Lexical and vector rankings of the queries that both have; a vector stands for the document of its id."""
-    lexical_rank = _bm25(spark, sf_dir, "or", 50).select("query_id", F.col("row_id").alias("document_id"), "rank")
-    vector_rank = _vector_top(spark, sf_dir, 50).select("query_id", F.col("vec_id").alias("document_id"), "rank")
+def _rankings(spark: SparkSession, sf_dir: str, whole: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Lexical and vector rankings, ``whole`` of whole passages and every fiftieth vector; a vector stands for the
+    document of its id."""
+    lexical_rank = _bm25(spark, sf_dir, "or", 50, None if whole else QUERY_WORDS).select("query_id", F.col("row_id").alias("document_id"), "rank")
+    vector_rank = _vector_top(spark, sf_dir, 50, _DUE if whole else "vec_id < 100").select("query_id", F.col("vec_id").alias("document_id"), "rank")
     return lexical_rank, vector_rank
 
 
-def _rrf_sql(w_lexical: float, w_vector: float) -> str:
-    return f"""WITH {_ROUTED},
+def _rrf_sql(w_lexical: float, w_vector: float, routed: str = _ROUTED) -> str:
+    return f"""WITH {routed},
 a AS (SELECT query_id, row_id, rank, {w_lexical} AS w, 1 AS l FROM bm25 UNION ALL SELECT query_id, row_id, rank, {w_vector}, 0 FROM vec),
 f AS (SELECT query_id, row_id, sum(w / (60 + rank)) AS score, min(CASE WHEN l = 1 THEN rank END) AS lexical_rank, min(CASE WHEN l = 0 THEN rank END) AS vector_rank FROM a GROUP BY query_id, row_id),
 p AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, row_id) AS position FROM f)
 SELECT query_id, row_id AS document_id, round(score, 9) AS fusion_score, lexical_rank, vector_rank, position FROM p WHERE position <= 10"""
 
 
-def _rrf(spark: SparkSession, sf_dir: str, w_lexical: float, w_vector: float) -> DataFrame:
-    a, b = _rankings(spark, sf_dir)
+def _rrf(spark: SparkSession, sf_dir: str, w_lexical: float, w_vector: float, whole: bool = False) -> DataFrame:
+    a, b = _rankings(spark, sf_dir, whole)
     fused = fusion.reciprocal_rank_fusion({"lexical": (a, w_lexical), "vector": (b, w_vector)}, 10)
     return fused.select("query_id", "document_id", F.round("fusion_score", 9).alias("fusion_score"), "lexical_rank", "vector_rank", F.col("position").cast("long").alias("position"))
 
@@ -336,12 +367,35 @@ def rrf_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rrf(spark, sf_dir, 0.7, 1.3)
 
 
-@query(f"""WITH {_ROUTED},
+@query(_rrf_sql(1.0, 1.0, _ROUTED_WHOLE))
+def rrf_hybrid_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rrf(spark, sf_dir, 1.0, 1.0, True)
+
+
+@query(_rrf_sql(0.7, 1.3, _ROUTED_WHOLE))
+def rrf_weighted_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rrf(spark, sf_dir, 0.7, 1.3, True)
+
+
+def _federated_sql(routed: str = _ROUTED) -> str:
+    return f"""WITH {routed},
 a AS (SELECT query_id, row_id, rank, 'lexical' AS corpus, 0 AS o FROM bm25 UNION ALL SELECT query_id, row_id, rank, 'vector', 1 FROM vec),
 p AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY 1.0 / (60 + rank) DESC, o, row_id) AS position FROM a)
-SELECT query_id, row_id AS document_id, corpus, position FROM p WHERE position <= 12""")
+SELECT query_id, row_id AS document_id, corpus, position FROM p WHERE position <= 12"""
+
+
+@query(_federated_sql())
 def rrf_federated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a, b = (r.withColumn("exact_title", F.lit(False)) for r in _rankings(spark, sf_dir))
+    return _federated(spark, sf_dir)
+
+
+@query(_federated_sql(_ROUTED_WHOLE))
+def rrf_federated_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _federated(spark, sf_dir, True)
+
+
+def _federated(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    a, b = (r.withColumn("exact_title", F.lit(False)) for r in _rankings(spark, sf_dir, whole))
     return fusion.federate({"lexical": a, "vector": b}, 12).select("query_id", "document_id", "corpus", F.col("position").cast("long").alias("position"))
 
 

@@ -23,3 +23,11 @@ def test_late_terms_of_a_passage_are_searched(spark, tmp_path):
         assert [r["row_id"] for r in f(spark, at).collect()] == [2]
     whole = [r for r in queries.query_relaxation(spark, at).collect() if "whole" in r["matched_variants"]]
     assert [r["document_id"] for r in whole] == [2]
+
+
+def test_every_fiftieth_vector_is_a_query(spark, tmp_path):
+    rows = [(i, [float(i % 7 + 1), float(i % 11)], i % 3) for i in range(320)]
+    at = tables(spark, tmp_path, embeddings=(rows, "vec_id long, embedding array<float>, label int"))
+    due = set(range(0, 320, 50))
+    assert {r["query_id"] for r in queries.vector_topk_due(spark, at).collect()} == due
+    assert {r["query_id"] for r in queries.vector_best_per_group_due(spark, at).collect()} == due
