@@ -1,5 +1,6 @@
 """Queries that read whole rows and every row that is due."""
 
+from quarry.functions.text import technical_plain
 from quarry.plans import queries
 
 
@@ -31,3 +32,17 @@ def test_every_fiftieth_vector_is_a_query(spark, tmp_path):
     due = set(range(0, 320, 50))
     assert {r["query_id"] for r in queries.vector_topk_due(spark, at).collect()} == due
     assert {r["query_id"] for r in queries.vector_best_per_group_due(spark, at).collect()} == due
+
+
+def test_technical_names_of_whole_documents(spark, sf, tmp_path):
+    texts = ["one two three four five six seven std::vector and foo_bar of C++", "no such name here", "", None, "İ ß a.NET .NET x_y::z_w C#"]
+    at = tables(spark, tmp_path, documents=([(i, t, "en", "web") for i, t in enumerate(texts)], DOCS))
+    for path in (at, sf):
+        want = {r["doc_id"]: technical_plain(r["text"] or "") for r in spark.read.parquet(f"{path}/documents.parquet").collect()}
+        assert {r["doc_id"]: r["technical"] for r in queries.technical_alias(spark, path).collect()} == want
+
+
+def test_late_tokens_change_the_hash(spark, tmp_path):
+    words = " ".join(f"w{i}" for i in range(30))
+    at = tables(spark, tmp_path, documents=([(1, f"{words} x", "en", "web"), (2, f"{words} y", "en", "web")], DOCS))
+    assert len({r["tokens_sha256"] for r in queries.tokenize_hash(spark, at).collect()}) == 2
