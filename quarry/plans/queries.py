@@ -422,6 +422,16 @@ def route_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asked.select("item_id", retrieval.alias("retrieval"))
 
 
+@query()
+def route_query_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages and the addresses of pages, which bear identifiers, whole and unaltered; held against a plain version
+    in the tests."""
+    passages = table(spark, sf_dir, "benchmark").select(F.lit("benchmark").alias("kind"), F.col("item_id").alias("item_id"), F.col("text").alias("q"))
+    addresses = table(spark, sf_dir, "pages").select(F.lit("pages").alias("kind"), F.col("page_id").alias("item_id"), F.col("url").alias("q"))
+    retrieval, reason = ranking.route(F.coalesce("q", F.lit("")), F.lit("docs"), F.lit(True), F.lit("and"))
+    return passages.unionByName(addresses).select("kind", "item_id", retrieval.alias("retrieval"), reason.alias("reason"))
+
+
 def _rerank_sql(words: int | None = 3) -> str:
     return f"""WITH bm25 AS ({_bm25_sql('or', 20, words)}),
 q AS (SELECT item_id, {_QTOK.format('text')} AS t FROM benchmark),

@@ -1,5 +1,8 @@
 """Queries that read whole rows and every row that is due."""
 
+import re
+
+from quarry.functions import ranking
 from quarry.functions.text import technical_plain
 from quarry.plans import queries
 
@@ -46,3 +49,28 @@ def test_late_tokens_change_the_hash(spark, tmp_path):
     words = " ".join(f"w{i}" for i in range(30))
     at = tables(spark, tmp_path, documents=([(1, f"{words} x", "en", "web"), (2, f"{words} y", "en", "web")], DOCS))
     assert len({r["tokens_sha256"] for r in queries.tokenize_hash(spark, at).collect()}) == 2
+
+
+def routed(query):
+    every = re.findall(ranking.TOKEN, query.lower())
+    kept = [t for t in every if t not in ranking.STOP_WORDS] or every
+    found = [m[0] for m in re.finditer(ranking.IDENTIFIER, query)]
+    if '"' in query:
+        return "bm25", "an exact or phrase match is asked for"
+    if found and len(every) <= 8 and len({x.lower() for x in found}) / max(1, len(every)) >= 0.4:
+        return "bm25", "technical identifiers dominate"
+    if every and every[0] not in ranking.QUESTION_WORDS and len(every) <= 7 and len(kept) <= 5:
+        return "bm25", "a terse technical phrase"
+    return "hybrid", "concepts in natural language gain from both indexes"
+
+
+def test_routes_of_whole_texts(spark, sf, tmp_path):
+    asked = ["use foo_bar", "HTTP 404", "why is the sky blue over the wide sea", "wild flowers", "", None, 'say "this"', "what is std::vector", "what does the .NET a.b do"]
+    schema = "item_id long, text string"
+    at = tables(spark, tmp_path, benchmark=(list(enumerate(asked)), schema), pages=([(1, "http://a.example/RFC/793")], "page_id long, url string"))
+    for path in (at, sf):
+        texts = {("benchmark", r["item_id"]): r["text"] for r in spark.read.parquet(f"{path}/benchmark.parquet").collect()}
+        texts |= {("pages", r["page_id"]): r["url"] for r in spark.read.parquet(f"{path}/pages.parquet").collect()}
+        got = {(r["kind"], r["item_id"]): (r["retrieval"], r["reason"]) for r in queries.route_query_whole(spark, path).collect()}
+        assert got == {k: routed(v or "") for k, v in texts.items()}
+        assert "technical identifiers dominate" in {why for _, why in got.values()}
