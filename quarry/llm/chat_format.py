@@ -145,13 +145,25 @@ def messages(conversations: DataFrame, schemas: dict[str, dict] | None = None) -
     """One row per message: conv_id, turn, row, order_turn, moved, message, calls, link. ``order_turn``, ``moved``,
     ``turn`` and ``row`` give the topological order; ``link`` tells of a result ``linked``, ``orphan`` or
     ``repeated``."""
+    parsed = _rows(conversations, schemas)
+    return _ordered(parsed, _first_calls(parsed))
+
+
+def _rows(conversations: DataFrame, schemas: dict[str, dict] | None) -> DataFrame:
     ship(conversations.sparkSession)
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     ).withColumn("row", F.xxhash64("role", "text"))
-    parsed = rows.mapInArrow(_parsed(schemas or {}), _PARSED)
+    return rows.mapInArrow(_parsed(schemas or {}), _PARSED)
+
+
+def _first_calls(parsed: DataFrame) -> DataFrame:
+    """One row per conversation and identifier: the turn of its first call in the whole conversation."""
     calls = parsed.where(F.size("calls") > 0).select("conv_id", "turn", F.posexplode("calls").alias("place", "call"))
-    first = calls.groupBy("conv_id", F.col("call.id").alias("result_of")).agg(F.min(F.struct("turn", "place")).alias("at")).select(F.coalesce("conv_id", F.lit(-1)).alias("of_conv"), F.col("conv_id").isNull().alias("of_none"), "result_of", F.col("at.turn").alias("call_turn"))
+    return calls.groupBy("conv_id", F.col("call.id").alias("result_of")).agg(F.min(F.struct("turn", "place")).alias("at")).select(F.coalesce("conv_id", F.lit(-1)).alias("of_conv"), F.col("conv_id").isNull().alias("of_none"), "result_of", F.col("at.turn").alias("call_turn"))
+
+
+def _ordered(parsed: DataFrame, first: DataFrame) -> DataFrame:
     results = parsed.where(F.col("result_of").isNotNull())
     earliest = results.groupBy("conv_id", "result_of").agg(F.min(F.struct("turn", "row")).alias("at")).select(F.coalesce("conv_id", F.lit(-1)).alias("of_conv"), F.col("conv_id").isNull().alias("of_none"), "result_of", F.col("at.turn").alias("first_turn"), F.col("at.row").alias("first_row"))
     known = earliest.join(first.hint("shuffle_hash"), ["of_conv", "of_none", "result_of"], "left")
@@ -171,19 +183,27 @@ def messages(conversations: DataFrame, schemas: dict[str, dict] | None = None) -
 def format_chats(conversations: DataFrame, schemas: dict[str, dict] | None = None, segment_turns: int = SEGMENT_TURNS) -> DataFrame:
     """One row per conversation segment: conv_id, segment, n_messages, n_calls, n_valid_calls, n_duplicate_calls,
     n_linked, n_orphans, n_repeated, chat (canonical JSON: a list of messages)."""
-    found = messages(conversations, schemas).withColumn("segment", F.coalesce(F.floor(F.col("order_turn") / segment_turns), F.lit(0)).cast("long"))
+    segment = lambda turn: F.coalesce(F.floor(F.col(turn) / segment_turns), F.lit(0)).cast("long")
+    parsed = _rows(conversations, schemas)
+    first = _first_calls(parsed)
+    found = _ordered(parsed, first).withColumn("segment", segment("order_turn"))
+    # of the calls of a segment, those that are no identifier's first in the conversation are duplicates
+    firsts = first.groupBy("of_conv", "of_none", segment("call_turn").alias("of_segment")).agg(F.count(F.lit(1)).alias("n_first"))
     place = F.struct("order_turn", "moved", "turn", "row", "message")
     number = lambda c: F.sum(c.cast("int")).cast("long")
-    return found.groupBy("conv_id", "segment").agg(
+    segments = found.groupBy("conv_id", "segment").agg(
         F.count(F.lit(1)).alias("n_messages"),
         F.sum(F.size("calls")).cast("long").alias("n_calls"),
         F.sum(F.size(F.filter("calls", lambda c: c["check"] == "valid"))).cast("long").alias("n_valid_calls"),
-        F.coalesce(F.sum(F.size("calls")) - F.size(F.array_distinct(F.flatten(F.collect_list(F.transform("calls", lambda c: c["id"]))))), F.lit(0)).cast("long").alias("n_duplicate_calls"),
         number(F.coalesce(F.col("link") == "linked", F.lit(False))).alias("n_linked"),
         number(F.coalesce(F.col("link") == "orphan", F.lit(False))).alias("n_orphans"),
         number(F.coalesce(F.col("link") == "repeated", F.lit(False))).alias("n_repeated"),
         F.concat(F.lit("["), F.array_join(F.transform(F.array_sort(F.collect_list(place)), lambda m: m["message"]), ","), F.lit("]")).alias("chat"),
     )
+    own = (F.coalesce("conv_id", F.lit(-1)) == F.col("of_conv")) & (F.col("conv_id").isNull() == F.col("of_none")) & (F.col("segment") == F.col("of_segment"))
+    return segments.join(firsts, own, "left").select(
+        "conv_id", "segment", "n_messages", "n_calls", "n_valid_calls", (F.col("n_calls") - F.coalesce("n_first", F.lit(0))).alias("n_duplicate_calls"), "n_linked", "n_orphans", "n_repeated", "chat"
+    )
 
 
 #: Schemas of the tools that the registered query knows.
