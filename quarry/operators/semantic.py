@@ -14,6 +14,7 @@ from quarry.runtime import ship
 
 MOST_QUERIES = 4096  # of one block: what is sent to every task has at most so many vectors
 MOST_RESULTS = 1000
+MOST_POOL = 20_000  # chunks that are looked at for the documents of a result
 
 
 def _best(blocks, limit: int):
@@ -34,14 +35,14 @@ def _best(blocks, limit: int):
     return run
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, limit: int, digits: int = 9) -> DataFrame:
+def top_k(vectors: DataFrame, queries: DataFrame, limit: int, digits: int = 9, most: int = MOST_RESULTS) -> DataFrame:
     """(query_id, vec_id, score, rank): exact inner products of normalised vectors, ties by vec_id.
 
     ``vectors`` has vec_id and embedding, ``queries`` query_id and embedding. Queries go out in blocks of a fixed
     size; each batch of vectors passes on only its own best for each query.
     """
-    if not 1 <= limit <= MOST_RESULTS:
-        raise ValueError(f"limit lies between 1 and {MOST_RESULTS}")
+    if not 1 <= limit <= most:
+        raise ValueError(f"limit lies between 1 and {most}")
     spark = vectors.sparkSession
     ship(spark)
     usable = vectors.where(is_usable(F.col("embedding"))).select("vec_id", normalize(F.col("embedding")).alias("embedding"))
@@ -73,7 +74,7 @@ def best_per_group(ranked: DataFrame, group: str, limit: int) -> DataFrame:
 
 def pool_size(n: int, limit: int) -> int:
     """How many chunks are looked at so that ``limit`` documents come of them."""
-    return min(n, 20_000, max(256, 64 * limit))
+    return min(n, MOST_POOL, max(256, 64 * limit))
 
 
 def embed(texts: DataFrame, provider: Callable[[list[str]], np.ndarray], column: str = "text") -> DataFrame:

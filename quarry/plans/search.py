@@ -16,6 +16,7 @@ from quarry.operators.fusion import RRF_K
 
 # How many starts are tried, and what a variant's hits weigh.
 STARTS, WINDOW_4, WINDOW_3, LEFT_OUT = 6, 0.65, 0.55, 0.8
+CANDIDATES = 160  # chunks of a variant
 
 
 def variants(queries: DataFrame) -> DataFrame:
@@ -36,7 +37,7 @@ def variants(queries: DataFrame) -> DataFrame:
     return once.withColumn("variant_id", F.concat_ws("|", F.col("query_id").cast("string"), "kind", F.col("place").cast("string")))
 
 
-def search_documents(index: lexical.Index, queries: DataFrame, chunks: DataFrame, limit: int = 8, candidates: int = 80) -> DataFrame:
+def search_documents(index: lexical.Index, queries: DataFrame, chunks: DataFrame, limit: int = 8, candidates: int = CANDIDATES) -> DataFrame:
     """(query_id, document_id, fusion_score, matched_variants, relaxed, position)."""
     every = variants(queries).persist()
     terms = every.select(F.col("variant_id").alias("query_id"), F.lit("and").alias("mode"), F.posexplode("terms").alias("pos", "term"))

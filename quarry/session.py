@@ -65,7 +65,7 @@ class Collection:
         terms = [t for term in plan.terms for t in [term]]
         if mode == "and" and relax:
             asked = self.spark.createDataFrame([("q", terms)], "query_id string, terms array<string>")
-            found = search_documents(c.index, asked, c.chunks, limit)
+            found = search_documents(c.index, asked, c.chunks, limit, min(400, max(80, 20 * limit)))
             return found.select("query_id", "document_id", F.col("position").alias("rank"), F.lit(False).alias("exact_title"))
         ranked = lexical.search(c.index, lexical.plan_queries(self.spark, [("q", c.rewrite(query), mode)]), 20 * limit, chunks=c.chunks)
         first = fusion.first_per_document(ranked).where(F.col("rank") <= limit)
@@ -74,7 +74,7 @@ class Collection:
     def _semantic(self, c: Corpus, query: str, limit: int) -> DataFrame:
         vector = self._embed(c.rewrite(query))
         asked = self.spark.createDataFrame([(0, [float(x) for x in vector])], "query_id long, embedding array<double>")
-        pool = semantic.top_k(c.vectors, asked, min(1000, semantic.pool_size(1000, limit)))
+        pool = semantic.top_k(c.vectors, asked, semantic.pool_size(max(1, c.vectors.count()), limit), most=semantic.MOST_POOL)
         owned = pool.join(c.chunks.select(F.col("row_id").alias("vec_id"), "document_id"), "vec_id")
         return semantic.best_per_group(owned, "document_id", limit).select(F.lit("q").alias("query_id"), "document_id", "rank", F.lit(False).alias("exact_title"))
 

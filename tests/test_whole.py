@@ -4,7 +4,10 @@ import re
 
 from quarry.functions import ranking
 from quarry.functions.text import technical_plain
+from quarry.operators import lexical
 from quarry.plans import queries
+from quarry.plans.search import search_documents
+from quarry.session import Collection, Corpus
 
 
 def tables(spark, tmp_path, **rows):
@@ -74,3 +77,22 @@ def test_routes_of_whole_texts(spark, sf, tmp_path):
         got = {(r["kind"], r["item_id"]): (r["retrieval"], r["reason"]) for r in queries.route_query_whole(spark, path).collect()}
         assert got == {k: routed(v or "") for k, v in texts.items()}
         assert "technical identifiers dominate" in {why for _, why in got.values()}
+
+
+CHUNKS = "row_id long, document_id string, title string, heading string, text string, ordinal int, front_matter boolean"
+
+
+def test_a_document_of_many_chunks_leaves_room(spark):
+    rows = [(i, "big", "", "", "alpha beta", i, False) for i in range(1200)] + [(1200, "small", "", "", "alpha beta and many other words besides", 0, False)]
+    chunks = spark.createDataFrame(rows, CHUNKS).cache()
+    index = lexical.build_index(chunks, {"text": "text"}).cache()
+    vectors = spark.createDataFrame([(r[0], [1.0, 0.001 if r[1] == "big" else 0.5]) for r in rows], "vec_id long, embedding array<double>").cache()
+    held = Collection(spark, [Corpus("c", chunks, index, vectors)], lambda texts: [[1.0, 0.0] for _ in texts])
+    assert {r["document_id"] for r in held._semantic(held.corpora["c"], "alpha", 50).collect()} == {"big", "small"}
+    few = chunks.where("row_id < 120 or row_id = 1200")
+    index = lexical.build_index(few, {"text": "text"})
+    asked = spark.createDataFrame([("q", ["alpha", "beta"])], "query_id string, terms array<string>")
+    assert {r["document_id"] for r in search_documents(index, asked, few).collect()} == {"big", "small"}
+    most = chunks.where("row_id < 390 or row_id = 1200")
+    held = Collection(spark, [Corpus("c", most, lexical.build_index(most, {"text": "text"}))])
+    assert {r["document_id"] for r in held.search("alpha beta").collect()} == {"big", "small"}
