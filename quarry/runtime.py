@@ -18,11 +18,14 @@ _SHIPPED: set[str] = set()
 def scratch_root(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the session leaves it unset (tests, a laptop) a local temporary folder stands in.
+    Only where the session leaves it unset and driver and executors are one process (tests, a laptop) a local
+    temporary folder stands in; on a cluster that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_DIRS:
         _OWN_DIRS[app] = f"file://{tempfile.mkdtemp(prefix='quarry-')}"
@@ -33,11 +36,12 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder; it is removed when the driver ends."""
     path = f"{scratch_root(spark)}/quarry-{uuid.uuid4().hex}-{name}"
-    atexit.register(_remove, spark, path)
+    atexit.register(remove, spark, path)
     return path
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
     try:
         jvm = spark.sparkContext._jvm
         where = jvm.org.apache.hadoop.fs.Path(path)
@@ -49,10 +53,23 @@ def _remove(spark: SparkSession, path: str) -> None:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it again: the lineage ends there and losing an
     executor costs nothing that was written."""
+    return stored_at(df, name)[0]
+
+
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As :func:`stored`, with the table's path, so that rounds can :func:`remove` what their successors replaced."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def unused(stem: str, columns: list[str]) -> str:
+    """A column name that ``columns`` do not hold, in any case."""
+    taken = {c.lower() for c in columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
 
 
 def ship(spark: SparkSession) -> None:
