@@ -72,6 +72,11 @@ def unused(stem: str, columns: list[str]) -> str:
     return stem
 
 
+def quoted(name: str) -> str:
+    """A column name as an expression, dots and backticks in it included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in the Python workers of every executor, once per application."""
     context = spark.sparkContext
