@@ -10,12 +10,15 @@ Texts are equal when they are identical after ``[\\x20\\x09-\\x0D]`` is deleted.
 code points stays, then the one with the smallest doc_id.
 
 Cases: a null text counts as empty, so null, empty and blank texts form one group; a null doc_id sorts behind all
-others; of rows that are equal in everything exactly one stays; an empty table gives an empty result; extra columns
-are let pass by :func:`drop_copies` and ignored by :func:`duplicates`, also if they are named like its results.
+others; of rows that share a doc_id and a length the first text in code-point order stays, and of rows that are equal
+in everything exactly one; doc_id may be of any type that has an order; very long texts are hashed whole; an empty
+table gives an empty result; extra columns, whatever their names, come out of :func:`drop_copies` as they went in and
+are ignored by :func:`duplicates`.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,11 +26,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.runtime import ship, shuffle_partitions, stored
+from quarry.runtime import numbered, ship, shuffle_partitions, stored
 
 SPACES = " \t\n\x0b\x0c\r"
 BITS_PER_ROW = 16
-MAX_BITS = 1 << 27
+RANGE_ROWS = 1 << 25  # rows of a hash range: a table of 64 to 128 MB
 SEGMENT = 1 << 17  # bits that one row of a partial table covers
 FLUSH = 1 << 21
 
@@ -41,15 +44,14 @@ def text_hash(text: Column) -> Column:
     return F.sha2(normalised(text).cast("binary"), 256)
 
 
-def table_bits(rows: int, max_bits: int = MAX_BITS) -> int:
-    """A power of two: enough for the rows, at least 2**16, at most ``max_bits``."""
-    wanted = max(1 << 16, rows * BITS_PER_ROW)
-    return min(max_bits, 1 << (wanted - 1).bit_length())
+def table_bits(rows: int, bits_per_row: int = BITS_PER_ROW) -> int:
+    """A power of two: at least ``bits_per_row`` for each row, and at least 2**16."""
+    return 1 << (max(1 << 16, rows * bits_per_row) - 1).bit_length()
 
 
 def positions(hashes: pa.Array, bits: int) -> np.ndarray:
-    """Four positions for each hexadecimal hash, as rows."""
-    text = np.frombuffer("".join(h[:32] for h in hashes.to_pylist()).encode(), dtype=np.uint8)
+    """Four positions for each hexadecimal hash, as rows; from its second half, as ranges share the beginning."""
+    text = np.frombuffer("".join(h[32:] for h in hashes.to_pylist()).encode(), dtype=np.uint8)
     digits = np.where(text >= 97, text - 87, text - 48).astype(np.uint8).reshape(-1, 16, 2)
     raw = (digits[:, :, 0] << 4 | digits[:, :, 1]).astype(np.uint8)
     return np.ascontiguousarray(raw).view("<u4").reshape(-1, 4) & np.uint32(bits - 1)
@@ -133,24 +135,37 @@ def _looked_up(table, bits: int, column: str, wanted: bool):
     return run
 
 
-def split_by_filter(rows: DataFrame, column: str, max_bits: int = MAX_BITS) -> tuple[DataFrame, DataFrame]:
-    """(rows whose hash may repeat, rows whose hash is unique for certain)."""
-    spark = rows.sparkSession
-    ship(spark)
-    hashes = rows.select(column)
-    bits = table_bits(rows.count(), max_bits)
-    table = spark.sparkContext.broadcast(repeated_bits(hashes, bits))
-    return tuple(rows.mapInArrow(_looked_up(table, bits, column, wanted), rows.schema) for wanted in (True, False))
+def hash_ranges(rows: int, range_rows: int) -> list[tuple[str, str | None]]:
+    """(least hash, first hash beyond) of ranges of about ``range_rows`` rows each; the last has no end."""
+    n = max(1, -(-rows // range_rows))
+    starts = [f"{k * (1 << 32) // n:08x}" for k in range(n)]
+    return list(zip(starts, [*starts[1:], None], strict=True))
 
 
-def duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def split_by_filter(rows: DataFrame, column: str, range_rows: int = RANGE_ROWS, bits_per_row: int = BITS_PER_ROW) -> tuple[DataFrame, DataFrame]:
+    """(rows whose hash may repeat, rows whose hash is unique for certain) of a stored frame."""
+    spark = rows.sparkSession
+    ship(spark)
+    found: list[tuple[DataFrame, DataFrame]] = []
+    n = rows.count()
+    ranges = hash_ranges(n, range_rows)
+    bits = table_bits(-(-n // len(ranges)), bits_per_row)
+    of = F.col(column)
+    for least, beyond in ranges:
+        own = rows
+        if len(ranges) > 1:
+            own = own.where(of >= least)
+            own = own if beyond is None else own.where(of < beyond)
+        table = spark.sparkContext.broadcast(repeated_bits(own.select(of), bits))
+        found.append(tuple(own.mapInArrow(_looked_up(table, bits, column, wanted), rows.schema) for wanted in (True, False)))
+    return tuple(functools.reduce(DataFrame.unionAll, part) for part in zip(*found, strict=True))
+
+
+def duplicates(docs: DataFrame, range_rows: int = RANGE_ROWS, bits_per_row: int = BITS_PER_ROW) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
-    ship(docs.sparkSession)
-    thin = stored(
-        docs.select("doc_id", text_hash(F.col("text")).alias("text_sha256"), F.length(F.coalesce(F.col("text"), F.lit(""))).alias("chars")).withColumn("row", F.monotonically_increasing_id()),
-        "dedup-hashes",
-    )
-    maybe, single = split_by_filter(thin, "text_sha256", max_bits)
+    thin = docs.select("doc_id", text_hash(F.col("text")).alias("text_sha256"), F.length(F.coalesce(F.col("text"), F.lit(""))).alias("chars"))
+    thin = stored(thin.withColumn("row", F.monotonically_increasing_id()).sortWithinPartitions("text_sha256"), "dedup-hashes")
+    maybe, single = split_by_filter(thin, "text_sha256", range_rows, bits_per_row)
     rank = F.struct(-F.col("chars"), F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
     groups = maybe.groupBy("text_sha256").agg(F.count(F.lit(1)).alias("group_size"), F.min(rank).alias("best"))
     groups = groups.select("text_sha256", "group_size", F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row"))
@@ -160,11 +175,11 @@ def duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return alone.unionByName(repeated)
 
 
-def drop_copies(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def drop_copies(docs: DataFrame, range_rows: int = RANGE_ROWS, bits_per_row: int = BITS_PER_ROW) -> DataFrame:
     """``docs`` without the rows that do not stay; the texts of rows that the filter lets through are not shuffled."""
-    names = docs.columns
-    hashed = docs.withColumn("_hash", text_hash(F.col("text")))
-    maybe, single = split_by_filter(hashed, "_hash", max_bits)
-    rank = F.struct(F.length(F.coalesce(F.col("text"), F.lit(""))).alias("chars"), F.col("doc_id").isNotNull().alias("named"), (-F.col("doc_id")).alias("id"))
-    best = maybe.groupBy("_hash").agg(F.max_by(F.struct(*names), rank).alias("row")).select("row.*")
-    return single.select(*names).unionByName(best)
+    inner = numbered(docs)
+    hashed = stored(inner.withColumn("hash", text_hash(F.col("text"))).sortWithinPartitions("hash"), "dedup-hashed")
+    maybe, single = split_by_filter(hashed, "hash", range_rows, bits_per_row)
+    rank = F.struct(-F.length(F.coalesce(F.col("text"), F.lit(""))), F.col("doc_id").isNull(), F.col("doc_id"), F.col("text"))
+    best = maybe.groupBy("hash").agg(F.min_by(F.struct(*inner.columns), rank).alias("row")).select("row.*")
+    return single.select(*inner.columns).unionByName(best).toDF(*docs.columns)

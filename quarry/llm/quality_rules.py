@@ -1,17 +1,21 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions only.
 
-Every rule is a Boolean column over the text that is true where the rule rejects. The cascade first runs each
-rule on a bounded sample, takes its seconds and the share that it rejects, and orders the rules by rejection per
-cost; a CASE expression then stops at the first rule that rejects, so that the dear rules see few rows. The order
-changes the cost and the name of the first rule that rejects, never the verdict.
+Every rule is a Boolean column over facts of the text that is true where the rule rejects. The cascade first runs each
+rule on a sample of all rows, long ones included, takes the median of its seconds and the share that it rejects, and
+orders the rules by rejection per cost; a CASE expression then stops at the first rule that rejects, so that the dear
+rules see few rows. The order changes the cost and the name of the first rule that rejects, never the verdict. The
+words of a text are split once for all rules; :func:`report` must count everything in every row, and its rules then
+read these counts.
 
 Cases: a null text counts as empty (no words, rejected by ``few_words``); an empty table gives an empty result;
-repeated rows are judged one by one; texts are read whole whatever their length; other columns are left alone, and
-columns that the functions add replace those of the same name.
+repeated rows are judged one by one; texts are read whole whatever their length; other columns are left alone, also
+if they bear the names of inner columns; the columns that :func:`judge` and :func:`measure` add by name replace those
+of the same name, and :func:`keep` adds none.
 """
 
 from __future__ import annotations
 
+import statistics
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -19,14 +23,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.runtime import stored
+from quarry.runtime import quoted, remove, stored_at, unused
 
 #: White space that parts words: space and U+0009 to U+000D.
 SPACE = "[ \\t-\\r]"
-SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
-SAMPLE_ROWS, SAMPLE_BYTES = 1000, 1 << 15
+SAMPLE_ROWS = 1000  # on average
+TIMES = 3
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -35,16 +39,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def words(text: Column) -> Column:
-    trimmed = F.btrim(text, F.lit(SPACES))
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE + "+"))
+    return F.array_remove(F.split(text, SPACE + "+"), "")
 
 
 def word_chars(text: Column) -> Column:
-    return F.length(F.translate(text, SPACES, "")).cast("long")
+    return F.length(F.regexp_replace(text, SPACE + "+", "")).cast("long")
 
 
 def n_symbols(text: Column) -> Column:
-    return (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long")
+    return F.length(F.regexp_replace(text, f"[^{SYMBOLS}]+", "")).cast("long")
 
 
 def n_dup_lines(text: Column) -> Column:
@@ -82,51 +85,57 @@ def n_repeat_words(tokens: Column) -> Column:
     return F.when(F.size(tokens) < WINDOW + 1, F.lit(0).cast("long")).otherwise(let(windows(tokens), count))
 
 
+class Facts:
+    """Columns that rules read: of a text, or of columns that hold them already."""
+
+    def __init__(self, text: Column, **known: Column):
+        self.text = text
+        self.words = known.get("words", words(text))
+        self.n_words = known.get("n_words", F.size(self.words).cast("long"))
+        self.word_chars = known.get("word_chars", word_chars(text))
+        self.n_symbols = known.get("n_symbols", n_symbols(text))
+        self.n_repeat_words = known.get("n_repeat_words", let(self.words, n_repeat_words))
+        self.lines = F.filter(F.split(text, "\n"), lambda line: line.rlike("[^ \\t-\\r]"))
+
+
 @dataclass(frozen=True)
 class Rule:
-    """``rejects`` maps the text column, nulls already replaced, to a Boolean column."""
+    """``rejects`` maps the facts of a text, nulls already replaced, to a Boolean column."""
 
     name: str
-    rejects: Callable[[Column], Column]
+    rejects: Callable[[Facts], Column]
 
 
 def few_words(least: int = 10) -> Rule:
-    return Rule("few_words", lambda t: F.size(words(t)) < least)
+    return Rule("few_words", lambda f: f.n_words < least)
 
 
 def repeated_words(percent: int = 20) -> Rule:
-    return Rule("repeated_words", lambda t: let(words(t), lambda w: n_repeat_words(w) * 100 > F.size(w) * percent))
+    return Rule("repeated_words", lambda f: f.n_repeat_words * 100 > f.n_words * percent)
 
 
 def symbol_share(percent: int = 5) -> Rule:
-    return Rule("symbol_share", lambda t: n_symbols(t) * 100 > word_chars(t) * percent)
+    return Rule("symbol_share", lambda f: f.n_symbols * 100 > f.word_chars * percent)
 
 
 def duplicate_lines(percent: int = 50) -> Rule:
     """The share of lines, of those with a word, that equal an earlier one; texts of a few lines are let pass."""
-
-    def rejects(t: Column) -> Column:
-        lines = F.filter(F.split(t, "\n"), lambda line: line.rlike("[^ \\t-\\r]"))
-        return let(lines, lambda x: (F.size(x) >= 4) & ((F.size(x) - F.size(F.array_distinct(x))) * 100 > F.size(x) * percent))
-
-    return Rule("duplicate_lines", rejects)
+    return Rule("duplicate_lines", lambda f: let(f.lines, lambda x: (F.size(x) >= 4) & ((F.size(x) - F.size(F.array_distinct(x))) * 100 > F.size(x) * percent)))
 
 
 def word_length(least: int = 2, most: int = 25) -> Rule:
     """The mean word length lies outside the bounds."""
-    return Rule(
-        "word_length",
-        lambda t: let(F.size(words(t)), lambda n: (word_chars(t) < n * least) | (word_chars(t) > n * most)),
-    )
+    return Rule("word_length", lambda f: (f.word_chars < f.n_words * least) | (f.word_chars > f.n_words * most))
 
 
 def shouting(percent: int = 60) -> Rule:
     """More than this share of a text's letters are capitals, in texts of 40 letters or more."""
 
-    def rejects(t: Column) -> Column:
-        letters = F.length(F.regexp_replace(t, "[^\\p{L}]+", ""))
-        capitals = F.length(F.regexp_replace(t, "[^\\p{Lu}]+", ""))
-        return let(letters, lambda n: (n >= 40) & (capitals * 100 > n * percent))
+    def rejects(f: Facts) -> Column:
+        letters = F.length(F.regexp_replace(f.text, "[^\\p{L}]+", ""))
+        capitals = F.length(F.regexp_replace(f.text, "[^\\p{Lu}]+", ""))
+        enough = let(letters, lambda n: (n >= 40) & (capitals * 100 > n * percent))
+        return (capitals * 100 > 40 * percent) & enough  # letters are counted only where there are capitals enough
 
     return Rule("shouting", rejects)
 
@@ -146,24 +155,31 @@ class Estimate:
         return self.rejected / max(self.seconds, 1e-6)
 
 
-def estimate(docs: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS, text: str = "text") -> list[Estimate]:
-    """Cost and share of rejections of each rule on at most ``sample_rows`` rows of at most ``SAMPLE_BYTES`` each (a
-    sample for the plan only: it decides the order of the rules, and all rows are judged by all rules). Rows are
-    taken from as few partitions as hold them."""
-    short = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).where(F.octet_length("text") <= SAMPLE_BYTES)
-    sample = stored(docs.sparkSession.createDataFrame(short.take(sample_rows), "text string"), "quality-sample")
+def estimate(docs: DataFrame, rules: list[Rule], facts: Callable[[DataFrame], tuple[DataFrame, Facts]], sample_rows: int = SAMPLE_ROWS, text: str = "text") -> list[Estimate]:
+    """Cost and share of rejections of each rule on a random sample of about ``sample_rows`` rows of any length (for
+    the plan only: it decides the order of the rules, and all rows are judged by all rules). The sample stays in the
+    shared folder; each rule is timed ``TIMES`` times over it, as ``facts`` will present the texts to it."""
+    n = docs.count()
+    some = docs.select(F.coalesce(F.col(quoted(text)), F.lit("")).alias("text"))
+    some = some.sample(min(1.0, sample_rows / n), seed=11) if n else some
+    sample, path = stored_at(some.repartition(min(8, max(1, n))), "quality-sample")
+    sample, given = facts(sample)
 
     def timed(column: Column) -> tuple[float, float]:
-        began = time.perf_counter()
-        rejected, n = sample.agg(F.sum(column.cast("int")), F.count(F.lit(1))).first()
-        return time.perf_counter() - began, (rejected or 0) / max(n, 1)
+        took = []
+        for _ in range(TIMES):
+            began = time.perf_counter()
+            rejected, rows = sample.agg(F.sum(column.cast("int")), F.count(F.lit(1))).first()
+            took.append(time.perf_counter() - began)
+        return statistics.median(took), (rejected or 0) / max(rows, 1)
 
     timed(F.length("text") > 0)
     scan, _ = timed(F.length("text") > 0)
     found = []
     for rule in rules:
-        seconds, rejected = timed(rule.rejects(F.col("text")))
+        seconds, rejected = timed(rule.rejects(given))
         found.append(Estimate(rule.name, max(seconds - scan, 1e-4), rejected))
+    remove(docs.sparkSession, path)
     return found
 
 
@@ -173,41 +189,69 @@ def order(rules: list[Rule], estimates: list[Estimate]) -> list[Rule]:
     return sorted(rules, key=lambda r: (-by[r.name].worth, by[r.name].seconds, r.name))
 
 
-def cascade(rules: list[Rule], text: Column) -> Column:
+def cascade(rules: list[Rule], facts: Facts) -> Column:
     """The name of the first rule that rejects, or null."""
     column = None
     for rule in rules:
-        column = F.when(rule.rejects(text), rule.name) if column is None else column.when(rule.rejects(text), rule.name)
+        column = F.when(rule.rejects(facts), rule.name) if column is None else column.when(rule.rejects(facts), rule.name)
     return F.lit(None).cast("string") if column is None else column.otherwise(F.lit(None).cast("string"))
 
 
-def judge(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``docs`` with ``failed_rule`` (null: the text stays)."""
+def _split(docs: DataFrame, text: str = "text") -> tuple[DataFrame, Facts]:
+    """With the words in a column of their own, named as no other."""
+    mark = unused("_words", docs.columns)
+    t = F.coalesce(F.col(quoted(text)), F.lit(""))
+    return docs.withColumn(mark, words(t)), Facts(t, words=F.col(mark))
+
+
+def judge(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text", sample_rows: int = SAMPLE_ROWS, into: str = "failed_rule") -> DataFrame:
+    """``docs`` with the column ``into``: the rule that rejects, or null where the text stays."""
     rules = rules or default_rules()
-    ordered = order(rules, estimate(docs, rules, sample_rows, text))
-    return docs.withColumn("failed_rule", cascade(ordered, F.coalesce(F.col(text), F.lit(""))))
+    ordered = order(rules, estimate(docs, rules, _split, sample_rows, text))
+    split, facts = _split(docs, text)
+    others = [F.col(quoted(n)) for n in docs.columns if n.lower() != into.lower()]
+    return split.select(*others, cascade(ordered, facts).alias(into))
+
+
+def keep(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The rows of ``docs`` that no rule rejects, with the same columns."""
+    mark = unused("_failed", docs.columns)
+    return judge(docs, rules, text, sample_rows, mark).where(F.col(mark).isNull()).drop(mark)
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the counts that the rules rest on."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    counted = docs.withColumn("_counts", let(words(t), lambda w: F.struct(F.size(w).cast("long").alias("n"), n_repeat_words(w).alias("r"))))
+    mark = unused("_counted", docs.columns)
+    t = F.coalesce(F.col(quoted(text)), F.lit(""))
+    counted = docs.withColumn(mark, let(words(t), lambda w: F.struct(F.size(w).cast("long").alias("n"), n_repeat_words(w).alias("r"))))
     return counted.withColumns(
-        {"n_words": F.col("_counts.n"), "word_chars": word_chars(t), "n_symbols": n_symbols(t), "n_dup_lines": n_dup_lines(t), "n_repeat_words": F.col("_counts.r")}
-    ).drop("_counts")
+        {"n_words": F.col(mark)["n"], "word_chars": word_chars(t), "n_symbols": n_symbols(t), "n_dup_lines": n_dup_lines(t), "n_repeat_words": F.col(mark)["r"]}
+    ).drop(mark)
+
+
+def _measured(docs: DataFrame, text: str = "text") -> tuple[DataFrame, Facts]:
+    names = ("n_words", "word_chars", "n_symbols", "n_repeat_words")
+    return measure(docs, text), Facts(F.coalesce(F.col(quoted(text)), F.lit("")), **{n: F.col(n) for n in names})
 
 
 def report(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """One row per document: the counts, whether the base rules fail, and the verdict of the whole cascade.
 
-    The base rules read the counts that are there already; the cascade of the other rules runs only for rows that
-    the base rules let pass.
+    The counts are wanted of every row, so no rule can save them: the base rules read them first, and the cascade of
+    the other rules runs only for rows that these let pass.
     """
-    base = F.col("base_failed")
     others = [symbol_share(), duplicate_lines(), word_length(), shouting()]
-    ordered = order(others, estimate(docs, others, sample_rows))
-    counted = measure(docs).withColumn("base_failed", (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20))
-    verdict = F.when(base, F.lit(False)).otherwise(cascade(ordered, F.coalesce(F.col("text"), F.lit(""))).isNull())
-    return counted.withColumn("kept", verdict).select(
+    thin = docs.select("doc_id", "text")
+    # the rules' own cost, on counts that are there already
+    ordered = order(others, estimate(thin, others, _counted_sample, sample_rows))
+    counted, facts = _measured(thin)
+    base = (facts.n_words < 10) | (facts.n_repeat_words * 100 > facts.n_words * 20)
+    verdict = F.when(F.col("base_failed"), F.lit(False)).otherwise(cascade(ordered, facts).isNull())
+    return counted.withColumn("base_failed", base).withColumn("kept", verdict).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+def _counted_sample(sample: DataFrame) -> tuple[DataFrame, Facts]:
+    counted, facts = _measured(sample)
+    return stored_at(counted, "quality-counted")[0], facts

@@ -11,16 +11,24 @@ them to numbers below the alphabet's size, and three tests are made:
   where joined words (``camelCase``, ``kebab-case``, paths) change at their joints only;
 * serial correlation of neighbouring numbers, against draws.
 
-A candidate must pass all three as uniform draws, and Fisher's method combines how unlikely its symbol counts and
-its runs are in ordinary writing. All of these probabilities enter one table of counts by length class and probability step (at
-most ``len(LENGTHS) * STEPS`` rows), in which the Benjamini-Hochberg rule finds a bound for each length class.
-
-Cases: a null text counts as empty and has no spans; the same secret twice gives two spans; texts are read whole;
-an empty table gives an empty result; extra columns are ignored by :func:`scan` and kept by :func:`redact`.
+A candidate must pass all three as uniform draws, and Fisher's method combines how unlikely its symbol counts, its runs
+and its serial correlation are in ordinary writing. All of these probabilities enter one table of counts by length
+class and probability step (at most ``len(LENGTHS) * STEPS`` rows), in which the Benjamini-Hochberg rule finds a bound
+for each length class.
+
+Where a base span lies in a run, what is left of the run on either side is a candidate. A run that no alphabet holds,
+or that fails as uniform draws, is parted at its slashes, and the parts of 20 characters or more are candidates: so a
+key in a URL's path is found.
+
+Cases: a null text counts as empty and has no spans; the same secret twice gives two spans; spans that start and end
+alike are put out each, by kind; texts are read whole and in time that grows with their length; a null doc_id stays
+null; an empty table gives an empty result; extra columns, whatever their names, are ignored by :func:`scan` and kept
+by :func:`redact`.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections import Counter
@@ -31,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.runtime import ship, stored
+from quarry.runtime import numbered, ship, stored
 
 KINDS = ("assign", "access", "hex", "random")
 
@@ -47,6 +55,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 LEAST_VALUE = 6
+LEAST_CANDIDATE = 20
 
 #: Alphabets by which a candidate may be encoded, small ones first.
 ALPHABETS = {
@@ -68,6 +77,8 @@ UNIFORM_LEVEL = 1e-3
 FALSE_DISCOVERIES = 0.01
 #: Ordinary writing: how often two letters agree, and how often the character class changes at most.
 TEXT_REPEAT, TEXT_CHANGE = 0.065, 0.15
+#: Mean and spread of the serial correlation of joined words under the alphabets above.
+TEXT_SERIAL, TEXT_SERIAL_SPREAD = 0.15, 0.25
 
 
 def _below(z: float) -> float:
@@ -116,10 +127,11 @@ def battery(token: str) -> float | None:
     around = sum((x - mean) ** 2 for x in symbols)
     r = sum((a - mean) * (b - mean) for a, b in zip(symbols, symbols[1:], strict=False)) / around if around else 1.0
     uniform.append(2 * _below(-abs(r + 1 / n) * math.sqrt(n)))
+    writing.append(_below((r - TEXT_SERIAL) / TEXT_SERIAL_SPREAD))
     if min(uniform) < UNIFORM_LEVEL:
         return None
-    x = -sum(math.log(max(p, 1e-300)) for p in writing)  # Fisher: half of a chi-squared with four degrees
-    return -x + math.log1p(x)
+    x = -sum(math.log(max(p, 1e-300)) for p in writing)  # Fisher: half of a chi-squared with six degrees
+    return -x + math.log1p(x + x * x / 2)
 
 
 def length_class(n: int) -> int:
@@ -134,33 +146,72 @@ def _base(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def _runs(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """(start, end) of the runs of candidate characters, less the base spans."""
+    covered: list[tuple[int, int]] = []  # the base spans, overlapping ones as one
+    for start, _, end in base:
+        if covered and start < covered[-1][1]:
+            covered[-1] = covered[-1][0], max(end, covered[-1][1])
+        else:
+            covered.append((start, end))
+    ends = [e for _, e in covered]
+    for m in CANDIDATE.finditer(text):
+        at, k = m.start(), bisect.bisect_right(ends, m.start())
+        while k < len(covered) and covered[k][0] < m.end():
+            yield at, min(covered[k][0], m.end())
+            at, k = covered[k][1], k + 1
+        yield at, m.end()
+
+
 def _candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-    """(start, end, length class, step) of each candidate that no base span touches; step -1: it fails as uniform."""
+    """(start, end, length class, step) of each candidate; step -1: it fails as uniform."""
     found = []
-    for m in CANDIDATE.finditer(text):
-        if any(s < m.end() and m.start() < e for s, _, e in base):
-            continue
-        p = battery(m[0])
-        body = len(m[0].rstrip("="))
-        found.append((m.start(), m.end(), length_class(body), -1 if p is None else min(STEPS - 1, int(-p / STEP))))
+
+    def test(start: int, end: int) -> bool:
+        token = text[start:end]
+        body = len(token.rstrip("="))
+        if body < LEAST_CANDIDATE:
+            return False
+        p = battery(token)
+        if p is None and "/" in token:
+            at, parts = start, token.split("/")
+            longs = []
+            for part in parts:
+                if len(part.rstrip("=")) >= LEAST_CANDIDATE:
+                    longs.append((at, at + len(part)))
+                at += len(part) + 1
+            if longs:  # the parts stand for the whole
+                for span in longs:
+                    test(*span)
+                return True
+        found.append((start, end, length_class(body), -1 if p is None else min(STEPS - 1, int(-p / STEP))))
+        return True
+
+    for start, end in _runs(text, base):
+        test(start, end)
     return found
 
 
 _SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("kind", T.IntegerType()), T.StructField("end", T.IntegerType())])
 _CANDIDATE = T.StructType([T.StructField(n, T.IntegerType()) for n in ("start", "end", "length_class", "step")])
-_FOUND = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("base", T.ArrayType(_SPAN)), T.StructField("candidates", T.ArrayType(_CANDIDATE))])
+_FOUND = [T.StructField("base", T.ArrayType(_SPAN)), T.StructField("candidates", T.ArrayType(_CANDIDATE))]
 _ARROW_SPAN = pa.list_(pa.struct([(n, pa.int32()) for n in ("start", "kind", "end")]))
 _ARROW_CANDIDATE = pa.list_(pa.struct([(n, pa.int32()) for n in ("start", "end", "length_class", "step")]))
 
 
-def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        base, candidates = [], []
-        for text in batch.column("text").to_pylist():
-            b = _base(text or "")
-            base.append([dict(zip(("start", "kind", "end"), s, strict=True)) for s in b])
-            candidates.append([dict(zip(("start", "end", "length_class", "step"), c, strict=True)) for c in _candidates(text or "", b)])
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(base, _ARROW_SPAN), pa.array(candidates, _ARROW_CANDIDATE)], names=["doc_id", "base", "candidates"])
+def _found(columns: list[str]):
+    """The columns with two more: base spans and candidates."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            base, candidates = [], []
+            for text in batch.column("text").to_pylist():
+                b = _base(text or "")
+                base.append([dict(zip(("start", "kind", "end"), s, strict=True)) for s in b])
+                candidates.append([dict(zip(("start", "end", "length_class", "step"), c, strict=True)) for c in _candidates(text or "", b)])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, columns), pa.array(base, _ARROW_SPAN), pa.array(candidates, _ARROW_CANDIDATE)], names=[*columns, "base", "candidates"])
+
+    return run
 
 
 def bounds(counts: dict[tuple[int, int], int], level: float = FALSE_DISCOVERIES) -> dict[int, int]:
@@ -182,10 +233,11 @@ def _bounds_of(found: DataFrame) -> dict[int, int]:
     return bounds({(r["length_class"], r["step"]): r["count"] for r in rows})
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """doc_id and ``spans``: an array of (start, kind, end), kind being a place in :data:`KINDS`, in order."""
+def _scanned(docs: DataFrame, columns: list[str]) -> tuple[DataFrame, Column]:
+    """``columns`` of ``docs`` with base spans and candidates, stored, and the column of all spans, in order."""
     ship(docs.sparkSession)
-    found = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_found, _FOUND), "secrets")
+    schema = T.StructType([*(docs.schema[n] for n in columns), *_FOUND])
+    found = stored(docs.mapInArrow(_found(columns), schema), "secrets")
     least = _bounds_of(found)
 
     def discovery(c: Column) -> Column:
@@ -195,7 +247,13 @@ def scan(docs: DataFrame) -> DataFrame:
         return good
 
     more = F.transform(F.filter("candidates", discovery), lambda c: F.struct(c["start"].alias("start"), F.lit(3).alias("kind"), c["end"].alias("end")))
-    return found.select("doc_id", F.array_sort(F.concat("base", more)).alias("spans"))
+    return found, F.array_sort(F.concat("base", more))
+
+
+def scan(docs: DataFrame) -> DataFrame:
+    """doc_id and ``spans``: an array of (start, kind, end), kind being a place in :data:`KINDS`, in order."""
+    found, spans = _scanned(docs.select("doc_id", "text"), ["doc_id"])
+    return found.select("doc_id", spans.alias("spans"))
 
 
 def joined(spans: Column) -> Column:
@@ -217,32 +275,34 @@ def report(docs: DataFrame) -> DataFrame:
     )
 
 
-def _masked(least: dict[int, int], columns: list[str]):
-    def clean(text: str | None) -> str | None:
-        if not text:
-            return text
-        base = _base(text)
-        spans = sorted(base + [(s, 3, e) for s, e, of, step in _candidates(text, base) if of in least and step >= least[of]])
-        if not spans:
-            return text
-        out, at = [], 0
-        for start, kind, end in spans:
-            if start >= at:
-                out += [text[at:start], f"[{KINDS[kind]}]"]
-            at = max(at, end)
-        return "".join([*out, text[at:]])
+def mask(text: str, spans: list[tuple[int, int, int]]) -> str:
+    """Every (start, kind, end) replaced by the kind's name in brackets, overlapping ones as one."""
+    out, at = [], 0
+    for start, kind, end in spans:
+        if start >= at:
+            out += [text[at:start], f"[{KINDS[kind]}]"]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
 
+
+def _masked(columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            new = pa.array([clean(t) for t in batch.column("text").to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([new if n == "text" else batch.column(n) for n in columns], names=columns)
+            texts, spans = batch.column("text").to_pylist(), batch.column("spans").to_pylist()
+            new = [mask(t, [(x["start"], x["kind"], x["end"]) for x in s]) if s else t for t, s in zip(texts, spans, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if n == "text" else batch.column(n) for n in columns], names=columns)
 
     return run
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` with every span, overlapping ones as one, replaced by ``[kind]`` of its first; ``n_chars`` follows."""
-    ship(docs.sparkSession)
-    least = _bounds_of(docs.select(F.lit(0).cast("long").alias("doc_id"), "text").mapInArrow(_found, _FOUND))
-    out = docs.mapInArrow(_masked(least, docs.columns), docs.schema)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    """``docs`` with every span, overlapping ones as one, replaced by ``[kind]`` of its first; ``n_chars`` follows.
+
+    Texts are scanned once; they wait in the shared folder with their candidates until the bounds are known."""
+    inner = numbered(docs, ("text", "n_chars"))
+    found, spans = _scanned(inner, inner.columns)
+    touched = found.select(*inner.columns, spans.alias("spans"))
+    out = touched.mapInArrow(_masked(inner.columns), inner.schema)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.toDF(*docs.columns)

@@ -3,18 +3,24 @@
 Fingerprints of 64 bits are dealt into tiles by the population counts of their four 16-bit quarters. Two
 fingerprints that differ in at most ``radius`` bits have counts whose differences add up to at most ``radius``, so
 tiles further apart are skipped; every other pair of tiles is compared in full with numpy's exclusive-or and bit
-counts. A tile's rows are homes; each fingerprint also visits, as a guest, the tiles within the radius that come
-after its own in a fixed half of the directions, so that every pair meets once. Which tiles hold anything is a table
-of at most 17**4 counts. Tiles beyond ``tile_rows`` homes are cut into blocks, and each fingerprint visits every
-block. A task never lists all pairs of a dense group: it keeps a union-find over the homes and passes on one link
-for each linked row. Components come from alternating large-star and small-star rounds, each written to the shared
-folder.
-
-Equal texts have one fingerprint and are compared once. doc_id is taken as the key of the documents.
+counts. A tile's rows are homes;
+each fingerprint also visits, as a guest, the tiles within the radius that come after its own in a fixed half of the
+directions, so that every pair meets once. Which tiles hold anything is a table of at most 17**4 counts. Tiles beyond
+``tile_rows`` homes are cut into blocks, and each fingerprint visits every block. Fingerprints travel packed, all of
+one task that go the same way in one row. A visit of eight bytes pays for ``tile_rows`` comparisons at most: what is
+shuffled is 65 fingerprints for each until tiles are cut, and from then on a ``tile_rows``-th of the comparisons. A
+task never lists all pairs of a dense group: it keeps a union-find over the homes and passes on one link for each
+linked row. Components come from alternating large-star and small-star rounds, each written to the shared folder; a
+round's table is removed when its successor is written.
+
+Equal texts have one fingerprint and are compared once.
 
 Cases: a null text counts as empty; texts without a word have fingerprint zero and link like any other; texts of one
 or two words have one shingle, the whole sequence; a null doc_id never names a component unless it has no other;
-rows that share a doc_id get a row each; an empty table gives an empty result; extra columns are ignored.
+doc_id may be of any type that has an order; rows that share a doc_id get a row each, and :func:`drop_near_copies`
+tells them apart, as it goes by row and not by doc_id: of each component, those of null doc_ids included, exactly one
+row stays; very long texts are read whole; an empty table gives an empty result; extra columns, whatever their names,
+come out of :func:`drop_near_copies` as they went in and are ignored by :func:`near_duplicates`.
 """
 
 from __future__ import annotations
@@ -27,16 +33,18 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quarry.runtime import ship, shuffle_partitions, stored
+from quarry.runtime import numbered, remove, ship, shuffle_partitions, stored, stored_at
 
 SEED = 42
 RADIUS = 3
 SHINGLE = 3
-TILE_ROWS = 20_000
+TILE_ROWS = 1 << 16
 SIDE = 17  # a quarter has 0 to 16 bits set
 CELLS = 1 << 21
 BLOCK = 1 << 15
+HELD = 1 << 17  # fingerprints that a task packs at once
 SALTS = 16
 
 
@@ -63,13 +71,15 @@ def fingerprint(text: str | None) -> int:
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = np.fromiter((fingerprint(t) for t in batch.column("text").to_pylist()), dtype=np.uint64, count=batch.num_rows)
-        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "fp": pa.array(found.view(np.int64))})
+        kept = [n for n in batch.schema.names if n != "text"]
+        yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(found.view(np.int64))], names=[*kept, "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and the fingerprint as a signed 64-bit number."""
+    """doc_id, ``row`` if there is one, and ``fp``, the fingerprint as a signed 64-bit number, in place of the text."""
     ship(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_signed, "doc_id long, fp long")
+    schema = T.StructType([*(f for f in docs.schema if f.name != "text"), T.StructField("fp", T.LongType())])
+    return docs.mapInArrow(_signed, schema)
 
 
 def directions(radius: int = RADIUS) -> np.ndarray:
@@ -96,36 +106,44 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _dealt(blocks_of, radius: int):
-    """Rows (tile, block, guest, fp): the home row, and a guest row for each block that the fingerprint must meet."""
+    """Rows (tile, block, guest, fps): homes, and guests for each block that they must meet, packed by where they go."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks, steps = blocks_of.value, directions(radius)
+        held: list[np.ndarray] = []
 
-        def rows(tile, block, guest, fps) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict({"tile": pa.array(tile.astype(np.int32)), "block": pa.array(block.astype(np.int32)), "guest": pa.array(np.full(len(fps), guest)), "fp": pa.array(fps)})
-
-        for batch in batches:
-            fps = batch.column("fp").to_numpy(zero_copy_only=False).astype(np.int64)
-            if not len(fps):
-                continue
+        def packed(fps: np.ndarray) -> Iterator[tuple[int, int, bool, bytes]]:
             counts = quarter_counts(fps)
             home = tile_of(counts)
             own = (fps.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % blocks[home]
-            yield rows(home, own, False, fps)
-            for k in range(int(blocks[home].max()) - 1):  # a tile in blocks: later blocks of the own tile, too
-                later = k + own + 1
-                there = later < blocks[home]
-                if there.any():
-                    yield rows(home[there], later[there], True, fps[there])
-            for step in steps:
-                counts_there = counts + step
-                inside = ((counts_there >= 0) & (counts_there < SIDE)).all(axis=1)
-                tile = tile_of(counts_there[inside])
-                many = blocks[tile]
-                if many.any():
-                    where = np.repeat(np.arange(len(tile)), many)
-                    block = np.arange(len(where)) - np.repeat(np.cumsum(many) - many, many)
-                    yield rows(tile[where], block, True, fps[inside][where])
+            order = np.lexsort((own, home))
+            fps, counts, home, own = fps[order], counts[order], home[order], own[order]
+            first = np.flatnonzero(np.r_[True, (np.diff(home) != 0) | (np.diff(own) != 0)])
+            for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(fps)], strict=True):
+                body, tile, block = fps[lo:hi].tobytes(), int(home[lo]), int(own[lo])
+                yield tile, block, False, body
+                for later in range(block + 1, int(blocks[tile])):  # a tile in blocks: later blocks of the own tile, too
+                    yield tile, later, True, body
+                there = counts[lo] + steps
+                there = tile_of(there[((there >= 0) & (there < SIDE)).all(axis=1)])
+                for other in there[blocks[there] > 0].tolist():
+                    for at in range(int(blocks[other])):
+                        yield other, at, True, body
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if not held:
+                return
+            rows = packed(np.concatenate(held))
+            held.clear()
+            while part := list(itertools.islice(rows, 4096)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part, strict=True), (pa.int32(), pa.int32(), pa.bool_(), pa.binary()), strict=True)], names=["tile", "block", "guest", "fps"])
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch.column("fp").to_numpy(zero_copy_only=False).astype(np.int64))
+                if sum(map(len, held)) >= HELD:
+                    yield from flush()
+        yield from flush()
 
     return run
 
@@ -189,21 +207,15 @@ def _compare(radius: int):
             homes, links = None, None
 
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            tile, block, guest, fps = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("tile", "block", "guest", "fp"))
-            fps = fps.astype(np.int64).view(np.uint64)
-            group = tile.astype(np.int64) << 32 | block
-            cuts = [0, *(np.flatnonzero((np.diff(group) != 0) | (np.diff(guest.astype(np.int8)) != 0)) + 1), len(group)]
-            for lo, hi in itertools.pairwise(cuts):
-                if group[lo] != key:
+            for tile, block, guest, body in zip(*(batch.column(n).to_pylist() for n in ("tile", "block", "guest", "fps")), strict=True):
+                if (tile, block) != key:
                     yield from close()
-                    key = group[lo]
-                if not guest[lo]:
-                    waiting.append(fps[lo:hi])
+                    key = tile, block
+                part = np.frombuffer(body, dtype=np.uint64)
+                if not guest:
+                    waiting.append(part)
                     continue
                 settle()
-                part = fps[lo:hi]
                 for at, i, j in near(part, homes):
                     first = np.flatnonzero(np.r_[True, np.diff(i) != 0])
                     head = j[np.repeat(first, np.diff(np.r_[first, len(i)]))]
@@ -222,7 +234,7 @@ def links(fps: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> D
     blocks = np.zeros(SIDE**4, dtype=np.int64)
     for row in counts:
         blocks[row["tile"]] = -(-row["n"] // tile_rows)
-    dealt = fps.mapInArrow(_dealt(spark.sparkContext.broadcast(blocks), radius), "tile int, block int, guest boolean, fp long")
+    dealt = fps.mapInArrow(_dealt(spark.sparkContext.broadcast(blocks), radius), "tile int, block int, guest boolean, fps binary")
     dealt = dealt.repartition(shuffle_partitions(spark), "tile", "block").sortWithinPartitions("tile", "block", "guest")
     return dealt.mapInArrow(_compare(radius), "a long, b long")
 
@@ -242,7 +254,7 @@ def components(edges: DataFrame) -> DataFrame:
     def mark(e: DataFrame) -> tuple:
         return e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("a", "b") % 1_000_003)).first()
 
-    now = stored(turned(edges), "links")
+    now, path = stored_at(turned(edges), "links")
     before = mark(now)
     while before[0]:
         both = now.union(now.select("b", "a"))
@@ -250,31 +262,43 @@ def components(edges: DataFrame) -> DataFrame:
         large = turned(_spread_join(both, least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = _spread_join(large, least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least)
-        now = stored(turned(small), "links")
+        last = path
+        now, path = stored_at(turned(small), "links")
         after = mark(now)
+        remove(now.sparkSession, last)
         if after == before:
             break
         before = after
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hexadecimal digits), component_id (smallest doc_id reachable)."""
-    signed = stored(fingerprints(docs), "fingerprints")
+def _classes(signed: DataFrame, radius: int, tile_rows: int) -> DataFrame:
+    """``fp`` and ``component_id`` for every distinct fingerprint of a stored frame of doc_id and fp."""
     distinct = signed.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     distinct = stored(distinct, "distinct-fingerprints")
     roots = components(links(distinct.select("fp"), radius, tile_rows))
     linked = roots.union(roots.select(F.col("root"), F.col("root")).distinct()).select(F.col("node").alias("fp"), "root")
     named = linked.join(distinct, "fp")
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = _spread_join(named, smallest, "root").select("fp", "component_id")
-    by_fp = distinct.join(named, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
-    by_fp = stored(by_fp, "components")  # so that both sides of the join are dealt anew, and a large group is split
+    named = _spread_join(named, smallest, "root").select("fp", "root", "component_id")
+    by_fp = distinct.join(named, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "first_id").alias("component_id"))
+    return stored(by_fp, "components")  # so that both sides of a join are dealt anew, and a large group is split
+
+
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """One row per document: doc_id, fingerprint (16 hexadecimal digits), component_id (smallest doc_id reachable)."""
+    signed = stored(fingerprints(docs.select("doc_id", "text")), "fingerprints")
+    by_fp = _classes(signed, radius, tile_rows)
     return signed.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest doc_id; rows without a doc_id stay."""
-    found = near_duplicates(docs, radius)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+def drop_near_copies(docs: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest doc_id, of several the first as they came."""
+    keyed = stored(numbered(docs).withColumn("row", F.monotonically_increasing_id()), "near-rows")
+    signed = stored(fingerprints(keyed.select("doc_id", "row", "text")), "fingerprints")
+    by_fp = _classes(signed, radius, tile_rows).select("fp", "root")
+    placed = stored(signed.join(by_fp, "fp").select("row", "root", "doc_id"), "near-places")
+    best = placed.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best"), F.count(F.lit(1)).alias("n"))
+    best = best.where("n > 1").select("root", F.col("best.row").alias("stays"))
+    gone = _spread_join(placed.select("row", "root"), best, "root").where("row != stays").select("row")
+    return keyed.join(stored(gone, "near-gone"), "row", "left_anti").drop("row").toDF(*docs.columns)

@@ -47,9 +47,25 @@ def test_exact_dedup(spark, sf, docs, odd):
     assert rows(exact_dedup.duplicates(odd)) == sorted(plain.exact_dedup([(i, t) for i, t, _ in ODD]), key=repr)
 
 
-def test_exact_dedup_with_a_full_filter_and_no_rows(spark, sf, docs, odd):
-    got = exact_dedup.duplicates(spark.read.parquet(f"{sf}/documents.parquet"), max_bits=1 << 8)
+@pytest.mark.parametrize(("range_rows", "bits_per_row"), [(40, 16), (1 << 25, 1)])
+def test_exact_dedup_by_ranges_and_with_a_full_filter(spark, sf, docs, monkeypatch, range_rows, bits_per_row):
+    monkeypatch.setattr(exact_dedup, "table_bits", lambda rows, per_row: 1 << 17 if per_row > 1 else 1 << 8)
+    table = spark.read.parquet(f"{sf}/documents.parquet")
+    got = exact_dedup.duplicates(table, range_rows, bits_per_row)
     assert rows(got) == sorted(plain.exact_dedup(docs), key=repr)
+    kept = exact_dedup.drop_copies(table, range_rows, bits_per_row)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r[0] for r in plain.exact_dedup(docs) if r[3])
+
+
+def test_hash_ranges_cover_all_hashes():
+    ranges = exact_dedup.hash_ranges(1000, 300)
+    assert len(ranges) == 4 and ranges[0][0] == "0" * 8 and ranges[-1][1] is None
+    assert all(a[1] == b[0] for a, b in zip(ranges, ranges[1:], strict=False))
+    assert exact_dedup.hash_ranges(0, 5) == [("00000000", None)]
+    assert exact_dedup.table_bits(10**9) >= 16 * 10**9
+
+
+def test_dedup_of_no_rows(odd):
     assert exact_dedup.duplicates(odd.limit(0)).count() == 0
     assert exact_dedup.drop_copies(odd.limit(0)).count() == 0
 
@@ -93,8 +109,8 @@ def test_quality_verdict_does_not_depend_on_the_order(spark, sf):
 
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rules = quality_rules.default_rules()
-    a = docs.where(quality_rules.cascade(rules, F.col("text")).isNull()).select("doc_id")
-    b = docs.where(quality_rules.cascade(rules[::-1], F.col("text")).isNull()).select("doc_id")
+    a = docs.where(quality_rules.cascade(rules, quality_rules.Facts(F.col("text"))).isNull()).select("doc_id")
+    b = docs.where(quality_rules.cascade(rules[::-1], quality_rules.Facts(F.col("text"))).isNull()).select("doc_id")
     assert rows(a) == rows(b)
     e = [quality_rules.Estimate("few_words", 1.0, 0.1), quality_rules.Estimate("shouting", 0.1, 0.1)]
     ordered = quality_rules.order([quality_rules.few_words(), quality_rules.shouting()], e)
