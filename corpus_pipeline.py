@@ -7,15 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm.exact_dedup import drop_copies
 from quarry.llm.packing import Packing, report
-from quarry.llm.quality_rules import judge
+from quarry.llm.quality_rules import keep
 from quarry.llm.secret_scan import redact
 from quarry.llm.simhash_dedup import drop_near_copies
-from quarry.runtime import scratch_path
+from quarry.runtime import remove, stored_at
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a rule rejects go."""
-    return judge(docs).where("failed_rule IS NULL").drop("failed_rule")
+    return keep(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,9 +45,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        path = scratch_path(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.schema(docs.schema).parquet(path)
+        docs, path = stored_at(stage(spark, docs, sf_dir), f"stage-{name}")
+        if last:
+            remove(spark, last)
+        last = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -72,6 +72,12 @@ def unused(stem: str, columns: list[str]) -> str:
     return stem
 
 
+def numbered(df: DataFrame, keep: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """With the columns that an operator does not read named by their places, so that no name clashes with its own and
+    none has signs that Python functions cannot be given; ``toDF(*names)`` brings the names back."""
+    return df.toDF(*(n if n in keep else f"x{i}" for i, n in enumerate(df.columns)))
+
+
 def quoted(name: str) -> str:
     """A column name as an expression, dots and backticks in it included."""
     return "`" + name.replace("`", "``") + "`"
