@@ -51,7 +51,8 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat_format.format_chats(_table(spark, sf_dir, "conversations"), chat_format.TOOLS)
+    """Every conversation, with the tool traffic that every assistant's turn gives rise to."""
+    return chat_format.format_chats(chat_format.with_tools(_table(spark, sf_dir, "conversations")), chat_format.TOOLS)
 
 
 _OPS = (

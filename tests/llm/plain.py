@@ -1,6 +1,7 @@
 """Plain Python versions of the operators, written from their contracts."""
 
 import hashlib
+import math
 import re
 import struct
 import zlib
@@ -101,3 +102,83 @@ def cut(ids, most=2048):
         out.append((at, n, crc(ids[at : at + n])))
         at += n
     return out
+
+
+def chats(rows, schemas, segment_turns=256, segment_rows=1024):
+    """(conv_id, segment, piece) to the counts and the messages as objects; no two rows of a conversation may tie."""
+    import json
+
+    def parsed(role, text):
+        try:
+            body = json.loads(text) if role in ("assistant", "tool") else None
+        except (ValueError, RecursionError):
+            body = None
+        return body if isinstance(body, dict) else None
+
+    talks = defaultdict(list)
+    for conv, turn, role, text in rows:
+        talks[conv].append((turn, role or "", text or ""))
+    out = {}
+    for conv, talk in talks.items():
+        talk.sort(key=lambda m: -math.inf if m[0] is None else m[0])
+        call_of, answered, placed = {}, set(), []
+        for turn, role, text in talk:
+            body = parsed(role, text)
+            if role == "assistant" and body and "tool_calls" in body:
+                for c in body["tool_calls"]:
+                    call_of.setdefault(c["id"], turn)
+        seen = set()
+        for turn, role, text in talk:
+            n = dict.fromkeys(("n_calls", "n_valid_calls", "n_duplicate_calls", "n_linked", "n_orphans", "n_repeated"), 0)
+            body, place = parsed(role, text), (turn, 0)
+            message = {"content": text, "role": role}
+            if role == "tool" and body and "tool_call_id" in body:
+                message, of = {"content": None, **body, "role": role}, body["tool_call_id"]
+                if of not in call_of:
+                    n["n_orphans"] = 1
+                else:
+                    n["n_repeated" if of in answered else "n_linked"] = 1
+                    answered.add(of)
+                    if call_of[of] > turn:
+                        place = (call_of[of], 1)
+            elif role == "assistant" and body and "tool_calls" in body:
+                message = {"content": None, **body, "role": role, "tool_calls": []}
+                for c in body["tool_calls"]:
+                    arguments, good = c.get("arguments", {}), c["name"] in schemas
+                    if isinstance(arguments, str):
+                        try:
+                            arguments = json.loads(arguments)
+                        except ValueError:
+                            good = False
+                    good = good and fits(arguments, schemas[c["name"]])
+                    message["tool_calls"].append({**c, "arguments": arguments})
+                    n["n_calls"] += 1
+                    n["n_valid_calls"] += good
+                    n["n_duplicate_calls"] += c["id"] in seen
+                    seen.add(c["id"])
+            placed.append((place, turn, n, message))
+        placed.sort(key=lambda p: (p[0], p[1]))
+        segments = defaultdict(list)
+        for p in placed:
+            segments[p[0][0] // segment_turns].append(p)
+        for segment, own in segments.items():
+            for at in range(0, len(own), segment_rows):
+                part = own[at : at + segment_rows]
+                counts = Counter()
+                for _, _, n, _ in part:
+                    counts.update(n)
+                out[conv, segment, at // segment_rows] = (len(part), dict(counts), [m for *_, m in part])
+    return out
+
+
+def fits(value, schema):
+    """For objects of strings and whole numbers."""
+    if not isinstance(value, dict) or set(schema["required"]) - value.keys() or value.keys() - schema["properties"].keys():
+        return False
+    for k, v in value.items():
+        s = schema["properties"][k]
+        if s["type"] == "string" and not (isinstance(v, str) and len(v) >= s.get("minLength", 0)):
+            return False
+        if s["type"] == "integer" and not (type(v) is int and s["minimum"] <= v <= s["maximum"]):
+            return False
+    return True
