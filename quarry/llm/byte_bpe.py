@@ -1,27 +1,30 @@
 """Byte-level BPE over a whole corpus by a global shuffle of distinct words, and its decoding.
 
-1. *Pre-tokens with positions.* Documents are taken in blocks of about ``block_bytes`` of text. A block's distinct
-   pre-tokens are numbered by frequency, and each document becomes the sequence of its pre-tokens' numbers: that is
-   the list of positions of every word, at one or two bytes each.
-2. *Distinct words.* The block's words are dealt by hash into as many buckets as there are shuffle partitions. Only
-   they travel, once a block, compressed. The task of a bucket meets each word from all blocks and encodes it once.
+1. *Pre-tokens with positions.* Documents are taken in blocks of about ``block_bytes`` of text and split once. A
+   block's distinct pre-tokens are numbered by frequency, and each document becomes the sequence of its pre-tokens'
+   numbers: that is the list of positions of every word, at one or two bytes each.
+2. *Distinct words.* The block's words are dealt by hash into buckets; there are as many as shuffle partitions, and on
+   small clusters up to ``MOST_BUCKETS`` by the input's size. Words travel once a block, compressed. The task of a
+   bucket meets each of its words from all blocks and encodes it once; what it keeps is one bucket's distinct words.
 3. *Joining back.* The ids of a block's words return to the block and are put into their positions.
 
 Decoding joins ids with the table of the vocabulary's bytes, whose size is fixed.
 
-The numbering is made twice, once for the words and once for the positions; both carry a hash of the block's texts,
-and a block whose parts do not match raises an error rather than give wrong ids. Rows must therefore come in the
-same order each time, as they do from files; store other frames first.
+Words and positions come of one pass over the input, and both carry a hash of the block's texts. A frame that is more
+than a scan, a filter and a projection may come in another order if a lost task is run again; it is stored first.
 
 Cases: a null or empty text has no ids and decodes to nothing; repeated rows are encoded each (their words once); a
 very long text is a block of its own; a null doc_id stays null; an empty table gives an empty result; extra columns
-are ignored.
+are ignored; code points that the two regex engines may class differently stay within their stretch between
+single blanks that part any text, which counts as one word and is split by the library's own engine (with another pattern than the known one the
+whole text does).
 """
 
 from __future__ import annotations
 
 import base64
 import functools
+import re
 import unicodedata
 from array import array
 from collections.abc import Iterator
@@ -34,10 +37,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.runtime import ship, shuffle_partitions
+from quarry.runtime import ship, shuffle_partitions, stored
 
-BLOCK_BYTES = 1 << 23
-MOST_KEPT = 200_000
+BLOCK_BYTES = 1 << 24
+BUCKET_BYTES, MOST_BUCKETS = 1 << 21, 1024
+
+#: Fixed value: the pattern for which the cut at :data:`_SURE` is proven. No match holds a blank behind another character.
+CUTTABLE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: A single blank between two ASCII letters or digits parts any text.
+_SURE = re.compile("(?<=[A-Za-z0-9])(?= [A-Za-z0-9])")
 
 
 @functools.cache
@@ -80,12 +88,17 @@ def _newer() -> object:
     return regex.compile("[" + "".join(f"\\U{lone[a]:08x}-\\U{lone[b]:08x}" for a, b in zip(starts, ends, strict=True)) + "]")
 
 
+def _unsure(text: str) -> bool:
+    return not text.isascii() and max(text) > "\u052f" and bool(_newer().search(text))
+
+
 def pre_tokens(text: str, pattern: str) -> list[str]:
-    """The matches of the pattern. A text with code points that the engines may class differently stays whole: its
-    encoding splits it by the library's own engine, and it counts as one word."""
-    if not text.isascii() and max(text) > "ԯ" and _newer().search(text):
+    """The matches of the pattern; a stretch with code points that the engines may class differently counts as one."""
+    if not _unsure(text):
+        return _splitter(pattern).findall(text)
+    if pattern != CUTTABLE:
         return [text]
-    return _splitter(pattern).findall(text)
+    return [w for part in _SURE.split(text) for w in ([part] if _unsure(part) else _splitter(pattern).findall(part))]
 
 
 def _squeeze(raw: bytes) -> bytes:
@@ -129,12 +142,15 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[tup
         yield ids, texts
 
 
-_SCHEMA = "block string, bucket int, words binary, docs binary, lengths binary, doc_ids array<long>, of_bucket binary"
-_ARROW = pa.schema([("block", pa.string()), ("bucket", pa.int32()), ("words", pa.binary()), ("docs", pa.binary()), ("lengths", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("of_bucket", pa.binary())])
+_SCHEMA = "dest int, block string, bucket int, words binary, docs binary, lengths binary, doc_ids array<long>, of_bucket binary, counts binary, ids binary"
+_ARROW = pa.schema([
+    ("dest", pa.int32()), ("block", pa.string()), ("bucket", pa.int32()), ("words", pa.binary()), ("docs", pa.binary()), ("lengths", pa.binary()),
+    ("doc_ids", pa.list_(pa.int64())), ("of_bucket", pa.binary()), ("counts", pa.binary()), ("ids", pa.binary()),
+])
 
 
-def _split(pattern: str, buckets: int, block_bytes: int, want_words: bool):
-    """A row for each block and bucket with its words, or a row for each block with its documents."""
+def _split(pattern: str, buckets: int, block_bytes: int):
+    """For each block a row with its documents (bucket -1), and a row for each bucket with its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -147,25 +163,30 @@ def _split(pattern: str, buckets: int, block_bytes: int, want_words: bool):
                 lengths.append(len(found))
                 mark.update(text.encode())
                 mark.update(b"\xff")
+            del texts
             block = f"{part}-{k}-{mark.hexdigest()}"
             places = np.frombuffer(sequence, dtype=np.uint32) if sequence else np.zeros(0, dtype=np.uint32)
             order = np.argsort(-np.bincount(places, minlength=len(number)), kind="stable")
             raw = [w.encode() for w in number]
             raw = [raw[i] for i in order]
-            of_bucket = np.array([xxhash.xxh3_64_intdigest(w) % buckets for w in raw], dtype=np.uint32)
-            if want_words:
-                by = np.argsort(of_bucket, kind="stable")
-                cuts = np.flatnonzero(np.diff(of_bucket[by])) + 1
-                for group in np.split(by, cuts) if len(by) else []:
-                    own = [raw[i] for i in group]
-                    sizes = np.fromiter(map(len, own), dtype="<u4", count=len(own))
-                    blob = np.array([len(own)], dtype="<u4").tobytes() + sizes.tobytes() + b"".join(own)
-                    yield pa.RecordBatch.from_pylist([{"block": block, "bucket": int(of_bucket[group[0]]), "words": _squeeze(blob)}], schema=_ARROW)
-            else:
-                rank = np.empty(len(order), dtype=np.uint32)
-                rank[order] = np.arange(len(order), dtype=np.uint32)
-                row = {"block": block, "bucket": -1, "docs": _numbers(rank[places] if len(rank) else places), "lengths": _numbers(np.array(lengths)), "doc_ids": doc_ids, "of_bucket": _numbers(of_bucket)}
-                yield pa.RecordBatch.from_pylist([row], schema=_ARROW)
+            of_bucket = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in raw), dtype=np.uint32, count=len(raw))
+            rank = np.empty(len(order), dtype=np.uint32)
+            rank[order] = np.arange(len(order), dtype=np.uint32)
+            row = {"dest": mark.intdigest() % buckets, "block": block, "bucket": -1, "docs": _numbers(rank[places] if len(rank) else places), "lengths": _numbers(np.array(lengths)), "doc_ids": doc_ids, "of_bucket": _numbers(of_bucket)}
+            yield pa.RecordBatch.from_pylist([row], schema=_ARROW)
+            by = np.argsort(of_bucket, kind="stable")
+            cuts = np.flatnonzero(np.diff(of_bucket[by])) + 1
+            rows = []
+            for group in np.split(by, cuts) if len(by) else []:
+                own = [raw[i] for i in group]
+                sizes = np.fromiter(map(len, own), dtype="<u4", count=len(own))
+                bucket = int(of_bucket[group[0]])
+                rows.append({"dest": bucket, "block": block, "bucket": bucket, "words": _squeeze(np.array([len(own)], dtype="<u4").tobytes() + sizes.tobytes() + b"".join(own))})
+                if len(rows) == 64:
+                    yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
+                    rows = []
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
 
     return run
 
@@ -177,30 +198,30 @@ def _sized(raw: bytes) -> tuple[np.ndarray, bytes]:
 
 
 def _encoded(ranks: str, pattern: str):
-    """The words of a bucket from every block; each distinct word is encoded once in the task."""
+    """Rows come sorted by bucket. Documents pass; of a bucket's words, from every block, each distinct one is encoded
+    once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoding(ranks, pattern).encode_ordinary
 
         class Known(dict):
             def __missing__(self, word: bytes) -> bytes:
-                ids = np.array(encode(word.decode()), dtype="<u4").tobytes()
-                if len(self) >= MOST_KEPT:
-                    self.clear()
-                self[word] = ids
+                self[word] = ids = np.array(encode(word.decode()), dtype="<u4").tobytes()
                 return ids
 
-        known = Known()
+        known, of = Known(), None
         for batch in batches:
             out = []
-            for block, bucket, words in zip(*(batch.column(n).to_pylist() for n in ("block", "bucket", "words")), strict=True):
-                sizes, body = _sized(words)
-                ends = np.cumsum(sizes).tolist()
-                ids = [known[body[a:b]] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-                counts = np.fromiter(map(len, ids), dtype="<u4", count=len(ids)) // 4
-                out.append((block, bucket, _numbers(counts), _numbers(np.frombuffer(b"".join(ids), dtype="<u4"))))
-            columns = list(zip(*out, strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["block", "bucket", "counts", "ids"])
+            for row in batch.to_pylist():
+                if row["bucket"] >= 0:
+                    if row["bucket"] != of:
+                        known, of = Known(), row["bucket"]
+                    sizes, body = _sized(row["words"])
+                    ends = np.cumsum(sizes).tolist()
+                    ids = [known[body[a:b]] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+                    row |= {"words": None, "counts": _numbers(np.fromiter(map(len, ids), dtype="<u4", count=len(ids)) // 4), "ids": _numbers(np.frombuffer(b"".join(ids), dtype="<u4"))}
+                out.append(row)
+            yield pa.RecordBatch.from_pylist(out, schema=_ARROW)
 
     return run
 
@@ -212,7 +233,7 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def close() -> Iterator[pa.RecordBatch]:
         of_bucket = _numbers_of(head["of_bucket"])
         if [b for b, _, _ in parts] != np.unique(of_bucket).tolist():
-            raise RuntimeError(f"words of block {head['block']} are missing: its rows came in another order; store the input first")
+            raise RuntimeError(f"words of block {head['block']} are missing: a lost task read its rows in another order")
         by = np.argsort(of_bucket, kind="stable")
         counts = np.concatenate([c for _, c, _ in parts]) if parts else np.zeros(0, dtype=np.uint32)
         ids = np.concatenate([i for _, _, i in parts]) if parts else np.zeros(0, dtype=np.uint32)
@@ -221,13 +242,15 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of_word = [b""] * len(by)
         for word, a, b in zip(by.tolist(), (ends - counts).tolist(), ends.tolist(), strict=True):
             of_word[word] = raw[4 * a : 4 * b]
-        places = _numbers_of(head["docs"]).tolist()
-        at, out = 0, []
-        for n in _numbers_of(head["lengths"]).tolist():
-            out.append(b"".join(map(of_word.__getitem__, places[at : at + n])))
-            at += n
-        for lo in range(0, len(out), 1024):
-            yield pa.RecordBatch.from_arrays([pa.array(head["doc_ids"][lo : lo + 1024], pa.int64()), pa.array(out[lo : lo + 1024], pa.binary())], names=["doc_id", "ids"])
+        places = _numbers_of(head["docs"])
+        lengths = _numbers_of(head["lengths"]).tolist()
+        at = 0
+        for lo in range(0, len(lengths), 512):
+            out = []
+            for n in lengths[lo : lo + 512]:
+                out.append(b"".join(map(of_word.__getitem__, places[at : at + n].tolist())))
+                at += n
+            yield pa.RecordBatch.from_arrays([pa.array(head["doc_ids"][lo : lo + 512], pa.int64()), pa.array(out, pa.binary())], names=["doc_id", "ids"])
 
     for batch in batches:
         for row in batch.to_pylist():
@@ -236,24 +259,36 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield from close()
                 head, parts = row, []
             elif head is None or row["block"] != head["block"]:
-                raise RuntimeError(f"documents of block {row['block']} are missing: its rows came in another order; store the input first")
+                raise RuntimeError(f"documents of block {row['block']} are missing: a lost task read its rows in another order")
             else:
                 parts.append((row["bucket"], _numbers_of(row["counts"]), _numbers_of(row["ids"])))
     if head is not None:
         yield from close()
 
 
+def _steady(docs: DataFrame) -> bool:
+    """Whether the frame is no more than scans, filters and projections, which give rows in the same order each time."""
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    nodes = {m[1] for m in re.finditer(r"^[\s:+-]*([A-Z]\w+)", plan, re.M)}
+    return nodes <= {"Project", "Filter", "Relation", "LocalRelation"}
+
+
+def _buckets(docs: DataFrame) -> int:
+    """Shuffle partitions, or more on small clusters: by the scan's size as Spark estimates it."""
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(shuffle_partitions(docs.sparkSession), min(MOST_BUCKETS, size // BUCKET_BYTES))
+
+
 def encode(docs: DataFrame, ranks: str, pattern: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id and ``ids``, little-endian unsigned 32-bit integers."""
     spark = docs.sparkSession
     ship(spark)
     n = shuffle_partitions(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    words = rows.mapInArrow(_split(pattern, n, block_bytes, True), _SCHEMA).select("block", "bucket", "words")
-    known = words.repartition(n, "bucket").mapInArrow(_encoded(ranks, pattern), "block string, bucket int, counts binary, ids binary")
-    heads = rows.mapInArrow(_split(pattern, n, block_bytes, False), _SCHEMA).drop("words")
-    both = heads.unionByName(known, allowMissingColumns=True)
-    dealt = both.repartition(n, "block").sortWithinPartitions("block", "bucket")
+    rows = rows if _steady(docs) else stored(rows, "texts")
+    both = rows.mapInArrow(_split(pattern, _buckets(rows), block_bytes), _SCHEMA)
+    met = both.repartition(n, "dest").sortWithinPartitions("bucket").mapInArrow(_encoded(ranks, pattern), _SCHEMA).drop("dest", "words")
+    dealt = met.repartition(n, "block").sortWithinPartitions("block", "bucket")
     return dealt.mapInArrow(_joined, "doc_id long, ids binary")
 
 

@@ -60,7 +60,7 @@ def test_byte_bpe(spark, sf, docs, odd):
     check(queries.op3_byte_bpe(spark, sf), docs)
     check(byte_bpe.report(odd, _ranks(), public_tokenizers.PATTERN), ODD)
     small = byte_bpe.encode(odd, _ranks(), public_tokenizers.PATTERN, block_bytes=100)
-    assert small.count() == len(ODD)
+    assert {r["doc_id"]: len(r["ids"]) // 4 for r in small.collect()} == {i: len(e.encode_ordinary(t or "")) for i, t in ODD}
     assert byte_bpe.encode(odd.limit(0), _ranks(), public_tokenizers.PATTERN).count() == 0
 
 
@@ -73,6 +73,40 @@ def test_pre_tokens_agree_with_the_library_on_every_letter_and_space():
         assert [i for w in byte_bpe.pre_tokens(text, public_tokenizers.PATTERN) for i in e.encode_ordinary(w)] == e.encode_ordinary(text)
 
 
+def test_unknown_code_points_keep_a_stretch_and_not_the_text_whole():
+    assert byte_bpe.CUTTABLE == public_tokenizers.PATTERN
+    text = "many words before " * 200 + "odd \u0378x! and" + " many words behind" * 200
+    words = byte_bpe.pre_tokens(text, public_tokenizers.PATTERN)
+    assert len(words) > 1200 and max(map(len, words)) < 12 and "".join(words) == text
+    e = byte_bpe.encoding(_ranks(), public_tokenizers.PATTERN)
+    rng = random.Random(2)
+    parts = "the 'S 's don't I'LL we'd 12 a1! \u65e5\u672c \u01f0 e\u0301 \U0001f642 \U0001e6c0 \u0897 x\u088f \ua7ce a\u2026 \u0378x y\u0378 ab\x1c".split(" ")
+    spaces = [" ", " ", "  ", "\n", "\n\n", " \n", "\t", "\xa0", "\u3000", "\x1c", ""]
+    for _ in range(5000):
+        x = "".join(rng.choice(spaces) + rng.choice(parts) for _ in range(rng.randint(0, 9))) + rng.choice(spaces)
+        assert [i for w in byte_bpe.pre_tokens(x, public_tokenizers.PATTERN) for i in e.encode_ordinary(w)] == e.encode_ordinary(x), repr(x)
+
+
+def test_each_distinct_word_is_encoded_once(monkeypatch):
+    asked = []
+
+    class Spy:
+        def encode_ordinary(self, word):
+            asked.append(word)
+            return [len(asked)]
+
+    monkeypatch.setattr(byte_bpe, "encoding", lambda ranks, pattern: Spy())
+    blob = lambda ws: byte_bpe._squeeze(np.array([len(ws)], dtype="<u4").tobytes() + np.array([len(w) for w in ws], dtype="<u4").tobytes() + b"".join(ws))
+    rows = [{"block": f"b{k}", "bucket": bucket, "words": blob([f"w{bucket}-{i}".encode() for i in range(k, k + 50)])} for bucket in range(3) for k in range(20)]
+    got = [r for b in byte_bpe._encoded("", "")(iter([pa.RecordBatch.from_pylist(rows, schema=byte_bpe._ARROW)])) for r in b.to_pylist()]
+    assert len(got) == len(rows) and len(asked) == len(set(asked)) == 3 * 69
+
+
+def test_frames_without_a_steady_order_are_stored_first(spark, odd):
+    assert not byte_bpe._steady(odd)
+    assert byte_bpe._steady(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("doc_id > 3").select("doc_id", "text"))
+
+
 def test_a_block_that_comes_in_another_order_is_an_error():
     head = {"block": "b", "bucket": -1, "docs": byte_bpe._numbers(np.array([0])), "lengths": byte_bpe._numbers(np.array([1])), "doc_ids": [1], "of_bucket": byte_bpe._numbers(np.array([3])), "counts": None, "ids": None}
     with pytest.raises(RuntimeError):
