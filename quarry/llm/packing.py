@@ -7,7 +7,11 @@ item under every capacity, the one with the smallest weighted norm of what is le
 dot product of demand and residual (``dot``) is chosen, and a new one is opened if none can.
 
 Each task packs windows of ``window_tokens`` tokens, so memory is bounded and nothing is shuffled; a window leaves
-about one sequence that is not full. The default capacities for documents and attention cost never bind.
+about one sequence that is not full. A sequence takes at most ``documents`` pieces; a window that needs more sequences
+for that than its tokens alone do is packed again with that capacity given up (``spare``), so that it never costs a
+sequence. The attention capacity cannot be less than a full piece's own cost, and the costs of pieces that share a
+sequence add up to less than that; it takes part in the choice, and binds where ``attention`` is set lower for
+shorter pieces.
 
 Cases: a null or empty text is a document of one token, the separator; repeated rows are packed each; a null doc_id
 stays null; an empty table gives an empty result; extra columns are ignored.
@@ -16,7 +20,7 @@ stays null; an empty table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +39,12 @@ class Packing:
     tokenizer: str
     end_id: int = 0
     tokens: int = 2048
-    documents: int = 2048
+    documents: int = 64
     attention: int = 2048 * 2048
     choose: str = "norm"
     weights: tuple[float, float, float] = (1.0, 0.05, 0.05)
     window_tokens: int = 1 << 24
+    spare: bool = True
 
 
 def pieces(length: int, most: int) -> list[tuple[int, int]]:
@@ -89,11 +94,20 @@ def best_fit(lengths: np.ndarray, p: Packing) -> tuple[np.ndarray, np.ndarray]:
     return sequence, offset
 
 
+def fewest(lengths: np.ndarray, p: Packing) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`best_fit`, without the document capacity where that saves sequences and ``spare`` allows it."""
+    found = best_fit(lengths, p)
+    if p.spare and len(lengths) and found[0].max() + 1 > -(-int(lengths.sum()) // p.tokens):
+        other = best_fit(lengths, replace(p, documents=p.tokens))
+        return other if other[0].max() < found[0].max() else found
+    return found
+
+
 def _packed(p: Packing):
     end = np.array([p.end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(p.tokenizer, False).encode
+        encode = encoder(p.tokenizer).encode
         first = TaskContext.get().partitionId() << 40
         rows: list[tuple] = []
         tokens = 0
@@ -102,7 +116,7 @@ def _packed(p: Packing):
             nonlocal first, tokens
             if not rows:
                 return
-            sequence, offset = best_fit(np.array([r[3] for r in rows], dtype=np.int64), p)
+            sequence, offset = fewest(np.array([r[3] for r in rows], dtype=np.int64), p)
             columns = list(zip(*rows, strict=True))
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
             whole = pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)), pa.array(sequence + first), pa.array(offset)], names=["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"])

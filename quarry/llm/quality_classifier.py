@@ -9,10 +9,11 @@ U's share to P's share above a score bounds the share of positives in U.
 Features come from the text alone: shares of three successive character classes, and a few counts of words, lines
 and characters. The model is linear in them. It is fitted on the driver on at most ``sample_rows`` positives and as
 many unlabelled rows, taken by a hash of doc_id; neither sample has rows of the held-out part. All rows are scored.
+The sample is put in one order before it is fitted, so that the model does not depend on how rows were dealt.
 
 Cases: a null text counts as empty and is scored; a null doc_id is never held out; labels that are null are ignored;
-without positives, or without unlabelled rows, every score is the prior of one half; repeated rows are scored each;
-an empty table gives an empty result; extra columns are ignored.
+without positives, or without unlabelled rows, every score is one half; repeated rows are scored each, and of
+rows that share a sampled doc_id the first text in code-point order is fitted; texts are read whole; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -121,6 +122,14 @@ def estimate_prior(p: np.ndarray, u: np.ndarray, seed: int = 1) -> float:
     return float(np.clip((above_u / above_p + doubt).min(), 0.02, 0.98))
 
 
+def risk_gradient(w: np.ndarray, p: np.ndarray, u: np.ndarray, prior: float, beta: float = 0.0) -> np.ndarray:
+    """Of the risk where its second part is above ``-beta``, and against that part's own gradient where it is not."""
+    sa, sb = _sigmoid(p @ w), _sigmoid(u @ w)  # the loss l(g) is the sigmoid of -g
+    da, db = p.T @ (sa * (1 - sa)) / len(p), u.T @ (sb * (1 - sb)) / len(u)
+    rest = db - prior * da
+    return rest - prior * da if sb.mean() - prior * sa.mean() >= -beta else -rest
+
+
 def fit(positive: np.ndarray, unlabelled: np.ndarray, epochs: int = 40, beta: float = 0.0, seed: int = 1) -> Model:
     """Non-negative positive-unlabelled learning on feature rows."""
     size = CLASSES**3 + DENSE
@@ -133,11 +142,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, epochs: int = 40, beta: fl
     p, u = _with_one(p), _with_one(u)
     w, adam = np.zeros(size + 1), _Adam(size + 1, 0.003)
     for a, b in _batches(p, u, epochs, 256, rng):
-        sa, sb = _sigmoid(a @ w), _sigmoid(b @ w)  # the loss l(g) is the sigmoid of -g
-        da, db = a.T @ (sa * (1 - sa)) / len(a), b.T @ (sb * (1 - sb)) / len(b)
-        negative = sb.mean() - prior * sa.mean()
-        g = -prior * da + (db - prior * da) if negative >= -beta else -(db - prior * da)
-        adam.step(w, g + 1e-4 * w)
+        adam.step(w, risk_gradient(w, a, b, prior, beta) + 1e-4 * w)
     return Model(w[:-1], float(w[-1]), mean, scale, prior)
 
 
@@ -153,18 +158,19 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _collected(docs: DataFrame) -> np.ndarray:
     """Features of a bounded sample, by way of the executors."""
     size = CLASSES**3 + DENSE
-    rows = docs.select("text").mapInArrow(_featured, "x binary").collect()
-    return np.frombuffer(b"".join(bytes(r["x"]) for r in rows), dtype="<f4").reshape(-1, size).astype(np.float32)
+    rows = sorted(bytes(r["x"]) for r in docs.select("text").mapInArrow(_featured, "x binary").collect())
+    return np.frombuffer(b"".join(rows), dtype="<f4").reshape(-1, size).astype(np.float32)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     ship(docs.sparkSession)
     order = F.xxhash64("doc_id")
     trusted = labels.where((F.col("quality") == 1) & ~held_out(F.col("doc_id"))).select("doc_id").orderBy(order, "doc_id").limit(sample_rows).distinct()
-    positive = _collected(docs.select("doc_id", "text").join(F.broadcast(trusted), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    one = lambda ids: docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    positive = _collected(one(trusted))
     seen = docs.where(~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("doc_id"))
     taken = seen.orderBy(F.xxhash64(F.col("doc_id"), F.lit(1)), "doc_id").limit(sample_rows).distinct()
-    unlabelled = _collected(docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    unlabelled = _collected(one(taken))
     return fit(positive, unlabelled)
 
 

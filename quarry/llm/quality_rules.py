@@ -197,20 +197,22 @@ def cascade(rules: list[Rule], facts: Facts) -> Column:
     return F.lit(None).cast("string") if column is None else column.otherwise(F.lit(None).cast("string"))
 
 
-def _split(docs: DataFrame, text: str = "text") -> tuple[DataFrame, Facts]:
-    """With the words in a column of their own, named as no other."""
-    mark = unused("_words", docs.columns)
-    t = F.coalesce(F.col(quoted(text)), F.lit(""))
-    return docs.withColumn(mark, words(t)), Facts(t, words=F.col(mark))
+def first_failure(rules: list[Rule], text: Column) -> Column:
+    """:func:`cascade` over a text whose words are split once: in a lambda variable, which no rewriting of the plan
+    copies into the rules."""
+    return let(words(text), lambda w: let(F.size(w).cast("long"), lambda n: cascade(rules, Facts(text, words=w, n_words=n))))
 
 
 def judge(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text", sample_rows: int = SAMPLE_ROWS, into: str = "failed_rule") -> DataFrame:
     """``docs`` with the column ``into``: the rule that rejects, or null where the text stays."""
     rules = rules or default_rules()
-    ordered = order(rules, estimate(docs, rules, _split, sample_rows, text))
-    split, facts = _split(docs, text)
+    ordered = order(rules, estimate(docs, rules, _split_sample, sample_rows, text))
     others = [F.col(quoted(n)) for n in docs.columns if n.lower() != into.lower()]
-    return split.select(*others, cascade(ordered, facts).alias(into))
+    return docs.select(*others, first_failure(ordered, F.coalesce(F.col(quoted(text)), F.lit(""))).alias(into))
+
+
+def _split_sample(sample: DataFrame) -> tuple[DataFrame, Facts]:
+    return stored_at(sample.withColumn("words", words(F.col("text"))), "quality-words")[0], Facts(F.col("text"), words=F.col("words"))
 
 
 def keep(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:

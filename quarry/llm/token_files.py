@@ -12,10 +12,10 @@ A reader of some documents reads the two tables at the file's end, finds their f
 
 Documents are range-partitioned and sorted by doc_id; each task streams its range into one file under a temporary
 name, which is then renamed to the name of its partition: a task that runs twice writes the same file. Paths are
-URIs that pyarrow's filesystems resolve.
+URIs that pyarrow's filesystems resolve; Hadoop's names of stores (``s3a``, ``s3n``, ``wasbs``) are taken for theirs.
 
-Cases: a null or empty text is the end id alone; null doc_ids come first; rows that share a doc_id follow each other
-in any order; a very long text is a frame of its own; an empty table gives no files and an empty result; extra
+Cases: a null or empty text is the end id alone; null doc_ids come first; rows that share a doc_id, or have none,
+follow each other by a hash of the text, and may fill several files; a very long text is a frame of its own; an empty table gives no files and an empty result; extra
 columns are ignored.
 """
 
@@ -42,12 +42,17 @@ FRAME_TOKENS = 1 << 16
 SEEK_MAGIC, INDEX_MAGIC, FOOTER_MAGIC = 0x184D2A5E, 0x184D2A5D, 0x8F92EAB1
 _ENTRY = struct.Struct("<qQI")
 _NULL_ID = -(1 << 63)
+#: Hadoop's names of stores, and pyarrow's.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss", "wasb": "abfs"}
 
 
 def _open(folder: str) -> tuple[pafs.FileSystem, str]:
     if folder.startswith("file:/"):
         return pafs.LocalFileSystem(), "/" + folder[5:].lstrip("/")
-    return (pafs.LocalFileSystem(), folder) if folder.startswith("/") else pafs.FileSystem.from_uri(folder)
+    if folder.startswith("/"):
+        return pafs.LocalFileSystem(), folder
+    scheme, rest = folder.split("://", 1)
+    return pafs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{rest}")
 
 
 @dataclass
@@ -170,7 +175,7 @@ def _written(folder: str, tokenizer: str, end_id: int, frame_tokens: int):
                 name = f"part-{part:06d}.tokens"
                 own = f"{root}/.{name}-{uuid.uuid4().hex}"
                 out = fs.open_output_stream(own, compression=None)
-                writer, encode = Writer(out, frame_tokens), encoder(tokenizer, True).encode
+                writer, encode = Writer(out, frame_tokens), encoder(tokenizer).encode
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 writer.add(doc_id, encode(text) + end)
         if writer is not None:
@@ -190,7 +195,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, frame_t
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ranged = rows.repartitionByRange(shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id")
+    ranged = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(shuffle_partitions(spark), "doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
     manifest = stored(ranged.mapInArrow(_written(folder, tokenizer, end_id, frame_tokens), _MANIFEST), "token-manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
     return manifest.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))

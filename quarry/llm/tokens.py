@@ -5,12 +5,18 @@ character, which no pre-token of the supported tokenizers spans, and the ids of
 belongs to the worker process and serves all its tasks; beyond a bound, what was not used of late is dropped. A piece
 that is new is first cut further where pre-tokens end for certain: behind white space that no word takes in, and
 between a letter and the signs at the end. Texts with other Unicode white space, for which the cut is not proven, are
-encoded whole.
+encoded whole, and so is every text if the tokenizer's file is not of one of the two kinds for which the cuts are
+proven: :func:`kind_of` reads its normaliser, pre-tokenizer and model.
+
+Ids are those of the library with ``add_special_tokens=False`` and, as the vocabularies' own description has it,
+``encode_special_tokens = True``: the strings of special tokens in a text are ordinary text, so that no text can put
+an end of document into the ids.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 from array import array
@@ -35,11 +41,32 @@ def byte_letters() -> list[str]:
     return [chr(b if b in seen else next(rest)) for b in range(256)]
 
 
+#: The parts of a tokenizer's file for which pieces are proven to give the ids of the whole.
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+_WORD_NORMAL = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_WORD_SPLIT = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
+_WORD_LEVEL = {"type": "Sequence", "pretokenizers": [_WORD_SPLIT, _BYTE_LEVEL | {"use_regex": False}]}
+
+
+def kind_of(path: str) -> str | None:
+    """``bytes`` (byte-level, blanks kept), ``words`` (small letters, white space dropped), or none of these."""
+    with open(path, encoding="utf-8") as file:
+        own = json.load(file)
+    model, special = own["model"], all(t["special"] and not t["normalized"] for t in own.get("added_tokens") or [])
+    plain = model["type"] == "BPE" and special and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges"))
+    plain = plain and not own.get("truncation") and not own.get("padding")
+    if plain and own.get("normalizer") is None and own.get("pre_tokenizer") == _BYTE_LEVEL and not model.get("end_of_word_suffix"):
+        return "bytes"
+    if plain and own.get("normalizer") == _WORD_NORMAL and own.get("pre_tokenizer") == _WORD_LEVEL and model.get("end_of_word_suffix"):
+        return "words"
+    return None
+
+
 class Encoder(dict):
     """Pieces, as bytes, to ids, as little-endian unsigned 32-bit integers. Two generations: when the young one is
     full it becomes the old one, from which what is asked for again comes back."""
 
-    def __init__(self, path: str, drops_space: bool):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -47,7 +74,8 @@ class Encoder(dict):
         self.old: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.drops_space = drops_space
+        self.kind = kind_of(path)
+        self.drops_space = self.kind == "words"
         self.model, self.letters = self.tokenizer.model, byte_letters()
 
     def whole(self, text: str) -> bytes:
@@ -94,13 +122,13 @@ class Encoder(dict):
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if _OTHER_SPACE.search(text):
+        if self.kind is None or _OTHER_SPACE.search(text):
             return self.whole(text)
         raw = text.encode()
         return b"".join(map(self.__getitem__, raw.split() if self.drops_space else _PIECE.findall(raw)))
 
 
 @functools.cache
-def encoder(path: str, drops_space: bool) -> Encoder:
-    """One for each worker process. ``drops_space``: the tokenizer parts words at white space and has no ids for it."""
-    return Encoder(path, drops_space)
+def encoder(path: str) -> Encoder:
+    """One for each worker process."""
+    return Encoder(path)

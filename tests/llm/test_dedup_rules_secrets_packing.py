@@ -109,8 +109,8 @@ def test_quality_verdict_does_not_depend_on_the_order(spark, sf):
 
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rules = quality_rules.default_rules()
-    a = docs.where(quality_rules.cascade(rules, quality_rules.Facts(F.col("text"))).isNull()).select("doc_id")
-    b = docs.where(quality_rules.cascade(rules[::-1], quality_rules.Facts(F.col("text"))).isNull()).select("doc_id")
+    a = docs.where(quality_rules.first_failure(rules, F.col("text")).isNull()).select("doc_id")
+    b = docs.where(quality_rules.first_failure(rules[::-1], F.col("text")).isNull()).select("doc_id")
     assert rows(a) == rows(b)
     e = [quality_rules.Estimate("few_words", 1.0, 0.1), quality_rules.Estimate("shouting", 0.1, 0.1)]
     ordered = quality_rules.order([quality_rules.few_words(), quality_rules.shouting()], e)
@@ -236,3 +236,19 @@ def test_best_fit_keeps_every_constraint(choose):
         assert len(own) <= 3 and own.sum() <= 2048 and (own.astype(float) ** 2).sum() <= p.attention
     with pytest.raises(ValueError):
         packing.best_fit(np.array([3000]), p)
+
+
+def test_document_capacity_binds_and_costs_no_sequence():
+    rng = np.random.default_rng(8)
+    p, loosened = packing.Packing(""), packing.Packing("", documents=2048)
+    few = np.array([1900, 1900, 1500] + [1] * 120)
+    assert sorted(np.bincount(packing.fewest(few, p)[0])) == [1, 58, 64]
+    assert sorted(np.bincount(packing.best_fit(few, loosened)[0])) == [1, 1, 121]
+    short = np.full(5000, 2)  # 1024 fit by tokens: the capacity is given up
+    assert packing.fewest(short, p)[0].max() + 1 == 5
+    assert packing.fewest(short, packing.replace(p, spare=False))[0].max() + 1 == -(-5000 // p.documents)
+    tight = packing.Packing("", tokens=100, documents=100, attention=900, spare=False)  # pieces of at most 30
+    lengths = rng.integers(1, 31, 400)
+    sequence, _ = packing.best_fit(lengths, tight)
+    costs = np.bincount(sequence, weights=lengths.astype(float) ** 2)
+    assert 850 < costs.max() <= 900 and np.bincount(sequence, weights=lengths).max() <= 100

@@ -18,7 +18,8 @@ def test_pieces_give_the_ids_of_the_whole(name, drops, monkeypatch):
     monkeypatch.setattr(tokens, "MOST_KEPT", 60)
     t = Tokenizer.from_file(public_tokenizers.path(name))
     t.encode_special_tokens = True
-    e = tokens.Encoder(public_tokenizers.path(name), drops)
+    e = tokens.Encoder(public_tokenizers.path(name))
+    assert e.drops_space == drops
     rng = random.Random(4)
     for k in range(3000):
         spaces = SPACES if k % 5 == 0 else SPACES[:10] + [""]
@@ -26,3 +27,30 @@ def test_pieces_give_the_ids_of_the_whole(name, drops, monkeypatch):
         want = t.encode(text, add_special_tokens=False).ids
         got = e.encode(text)
         assert [int.from_bytes(got[i : i + 4], "little") for i in range(0, len(got), 4)] == want, repr(text)
+
+
+def test_an_unknown_tokenizer_is_asked_for_whole_texts(tmp_path):
+    import json
+
+    own = json.load(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8"))
+    own["normalizer"] = {"type": "Lowercase"}
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(own), encoding="utf-8")
+    e = tokens.Encoder(str(path))
+    assert e.kind is None
+    text = "The Quick BROWN fox, don't 12!"
+    want = Tokenizer.from_file(str(path)).encode(text, add_special_tokens=False).ids
+    got = e.encode(text)
+    assert [int.from_bytes(got[i : i + 4], "little") for i in range(0, len(got), 4)] == want
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_texts_without_special_strings_have_the_ids_of_the_unchanged_library(name):
+    t = Tokenizer.from_file(public_tokenizers.path(name))
+    e = tokens.Encoder(public_tokenizers.path(name))
+    rng = random.Random(5)
+    parts = [p for p in PARTS if "<|" not in p]
+    for _ in range(1000):
+        text = "".join(rng.choice(SPACES) + rng.choice(parts) for _ in range(rng.randint(0, 12)))
+        got = e.encode(text)
+        assert [int.from_bytes(got[i : i + 4], "little") for i in range(0, len(got), 4)] == t.encode(text, add_special_tokens=False).ids
