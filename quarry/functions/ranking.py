@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 TOKEN = r"[A-Za-z0-9]+(?:[._:/+#-][A-Za-z0-9]+)*"
 # Words that a query may lose, and words that begin a question.
 STOP_WORDS = (
-    "a an and are as at be by can did do does for from how in into is it its of on or that the their this to using "
-    "was were what when where which who why with"
-).split()
-QUESTION_WORDS = "are can could did do does how is should what when where which who why would".split()
+    "a", "an", "and", "are", "as", "at", "be", "by", "can", "did", "do", "does", "for", "from", "how", "in", "into",
+    "is", "it", "its", "of", "on", "or", "that", "the", "their", "this", "to", "using", "was", "were", "what", "when",
+    "where", "which", "who", "why", "with",
+)
+QUESTION_WORDS = (
+    "are", "can", "could", "did", "do", "does", "how", "is", "should", "what", "when", "where", "which", "who", "why",
+    "would",
+)
 IDENTIFIER = (
     r"(?:\b[A-Z][A-Z0-9_]{2,}\b|\b[A-Za-z][A-Za-z0-9]*_[A-Za-z0-9_]+\b|\b\w+::\w+\b|--[a-z0-9][\w-]*"
     r"|(?i:\bRFC\s*)?\d{2,5}\b|\b\w+\.\w+\b|(?i:\bC\+\+|\bC#|\.NET\b))"

@@ -1,10 +1,13 @@
 """Text functions: Unicode forms, search tokens, technical names and content identities.
 
-Spark has no Unicode normalisation; texts that are plain ASCII, most of them, never leave the JVM.
+Spark has no Unicode normalisation, no full case folding and no table of HTML entities. Python has; but a CASE does
+not keep rows from a Python function, which gets every row of its stage. So what a function need not see is given to
+it as null, and what it returns is put over the original: plain rows cross as empty cells.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import html
 import re
@@ -46,37 +49,63 @@ def tokens(text: Column) -> Column:
 
 def tokens_plain(text: str) -> list[str]:
     """The same for a string on the driver."""
-    decomposed = unicodedata.normalize("NFD", text.lower())
-    kept = unicodedata.normalize("NFC", "".join(c for c in decomposed if not unicodedata.combining(c)))
-    return re.findall(r"[^\W_]+", kept)
+    import regex
 
+    kept = regex.sub(r"\p{Mn}+", "", text.lower()).translate(str.maketrans(_MARKED, _PLAIN))
+    return regex.findall(r"[\p{L}\p{N}\p{Co}]+", kept)
 
-@F.pandas_udf(T.StringType())
-def _nfc(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: None if v is None else unicodedata.normalize("NFC", v))
 
+def _on_rows(function):
+    """A function of one string as a pandas function over those rows that are not null."""
 
-@F.pandas_udf(T.StringType())
-def _casefold(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: None if v is None else v.casefold())
+    def run(values: pd.Series) -> pd.Series:
+        out = pd.Series([None] * len(values), index=values.index, dtype=object)
+        there = values.notna()
+        out[there] = [function(v) for v in values[there]]
+        return out
 
+    run.__annotations__ = {"values": pd.Series, "return": pd.Series}
+    return F.pandas_udf(run, T.StringType())
 
-@F.pandas_udf(T.StringType())
-def _unescape(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: None if v is None else html.unescape(v))
+
+def _where(needed: Column, udf, text: Column, other: Column) -> Column:
+    """``udf`` of the rows that need it; ``other`` for the rest."""
+    return F.coalesce(udf(F.when(F.coalesce(needed, F.lit(False)), text)), other)
+
+
+@functools.cache
+def _unstable() -> str:
+    """A pattern for the characters with which a text may not be in NFC: those that NFC changes, and those that may
+    join the one before."""
+    points = [p for p in range(0x80, 0x110000) if not 0xD800 <= p < 0xE000]
+    joins = set()
+    for p in points:
+        parts = unicodedata.decomposition(chr(p))
+        if parts and not parts.startswith("<"):
+            joins |= {int(x, 16) for x in parts.split()[1:]}
+    joins |= {*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)}  # vowels and ends of Hangul syllables
+    found = [p for p in points if p in joins or unicodedata.combining(chr(p)) or not unicodedata.is_normalized("NFC", chr(p))]
+    ranges: list[list[int]] = []
+    for p in found:
+        if ranges and ranges[-1][1] == p - 1:
+            ranges[-1][1] = p
+        else:
+            ranges.append([p, p])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]"
 
 
 def nfc(text: Column) -> Column:
-    return F.when(text.rlike(_ASCII), text).otherwise(_nfc(text))
+    udf = _on_rows(lambda v: unicodedata.normalize("NFC", v))
+    return _where(text.rlike(_unstable()), udf, text, text)
 
 
 def casefold(text: Column) -> Column:
-    return F.when(text.rlike(_ASCII), F.lower(text)).otherwise(_casefold(text))
+    return _where(~text.rlike(_ASCII), _on_rows(str.casefold), text, F.lower(text))
 
 
 def unescape(text: Column) -> Column:
     """HTML entities as characters."""
-    return F.when(~text.contains("&"), text).otherwise(_unescape(text))
+    return _where(text.contains("&"), _on_rows(html.unescape), text, text)
 
 
 _TRIM = "^[\\s\\x1c-\\x1f]+|[\\s\\x1c-\\x1f]+$"
@@ -103,14 +132,13 @@ def collapse(text: Column) -> Column:
 
 
 # Names that a tokenizer would take apart, and what stands for them.
-TECHNICAL_NAMES = [
-    (r"(?i)(?<![\w+])c\+\+(?!\+)", "cpp"),
-    (r"(?i)(?<![\w#])c#(?!#)", "csharp"),
-    (r"(?i)(?<!\w)\.net(?!\w)", "dotnet"),
-]
+CPP, CSHARP, DOTNET = r"(?<![\w+])c\+\+(?!\+)", r"(?<![\w#])c#(?!#)", r"(?<!\w)\.net(?!\w)"
 SCOPED = r"\b[A-Za-z_]\w*(?:::[A-Za-z_]\w*)+\b"
 UNDERSCORED = r"\b[A-Za-z]\w*(?:_\w+)+\b"
 _HINT = r"(?i)c\+\+|c#|\.net|\w::\w|[a-z]\w*_\w"
+_SHORT = {"cpp": CPP, "csharp": CSHARP, "dotnet": DOTNET}
+_SHORT_NAMES = re.compile("|".join(f"(?P<{name}>{pattern})" for name, pattern in _SHORT.items()), re.I)
+_LONG_NAMES = re.compile(f"(?P<scope>{SCOPED})|(?P<ident>{UNDERSCORED})")
 
 
 def alias(prefix: str, name: str) -> str:
@@ -119,28 +147,11 @@ def alias(prefix: str, name: str) -> str:
 
 def technical_plain(text: str) -> str:
     """The words of the text with technical names replaced, or nothing if it has no such name."""
-    found = False
-
-    def put(replacement):
-        def one(match: re.Match) -> str:
-            nonlocal found
-            found = True
-            return f" {replacement(match[0])} "
-
-        return one
-
-    for pattern, name in TECHNICAL_NAMES:
-        text = re.sub(pattern, put(lambda _, name=name: name), text)
-    text = re.sub(SCOPED, put(lambda m: alias("scope", m)), text)
-    text = re.sub(UNDERSCORED, put(lambda m: alias("ident", m)), text)
-    return " ".join(word.casefold() for word in re.findall(r"[^\W_]+", text)) if found else ""
-
-
-@F.pandas_udf(T.StringType())
-def _technical(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: technical_plain(v or ""))
+    text, short = _SHORT_NAMES.subn(lambda m: f" {m.lastgroup} ", text)
+    text, long = _LONG_NAMES.subn(lambda m: f" {alias(m.lastgroup, m[0])} ", text)
+    return " ".join(re.findall(r"[^\W_]+", text)).casefold() if short or long else ""
 
 
 def technical_normalized(text: Column) -> Column:
     """Only texts that may have a technical name are looked at in Python."""
-    return F.when(F.coalesce(text.rlike(_HINT), F.lit(False)), _technical(text)).otherwise(F.lit(""))
+    return _where(text.rlike(_HINT), _on_rows(technical_plain), text, F.lit(""))

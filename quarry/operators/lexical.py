@@ -22,9 +22,10 @@ WEIGHTS = {"title": 5.0, "heading": 2.0, "text": 1.0, "technical": 2.0}
 WEIGHTS_V1 = {"title": 5.0, "heading": 2.0, "text": 1.0}
 # Words of a question that no passage need hold.
 STOP_WORDS = (
-    "a about an are be been being did do does how is instructions me of preparation prepare preparing recipe tell the "
-    "was were what when where which who why"
-).split()
+    "a", "about", "an", "are", "be", "been", "being", "did", "do", "does", "how", "is", "instructions", "me", "of",
+    "preparation", "prepare", "preparing", "recipe", "tell", "the", "was", "were", "what", "when", "where", "which",
+    "who", "why",
+)
 MOST_TERMS = 1 << 17  # terms of one block of queries: what is sent to every task
 MODES = ("and", "or", "phrase", "exact")
 
@@ -91,25 +92,34 @@ def field_tokens(chunks: DataFrame, fields: dict[str, str | Column]) -> DataFram
     return chunks.select("row_id", F.inline(F.array(*named)))
 
 
-def build_index(chunks: DataFrame, fields: dict[str, str | Column] | None = None, terms: DataFrame | None = None) -> Index:
+def build_index(chunks: DataFrame, fields: dict[str, str | Column] | None = None, terms: DataFrame | None = None, positions: bool = True) -> Index:
     """``chunks`` has row_id and the fields' columns; by default title, heading and text, and the technical names of all
-    three. With ``terms``, the postings of other terms are left out before they are gathered: for a batch of queries
-    against chunks that have no stored index."""
+    three. Only phrases need ``positions``. With ``terms``, for a batch of queries against chunks that have no stored
+    index, other terms are merely counted: one pass over the texts gives the lengths of all rows and the postings of
+    the batch, and is stored."""
     if fields is None:
         ship(chunks.sparkSession)
         everything = F.concat_ws(" ", "title", "heading", "text")
         chunks = chunks.withColumn("technical", technical_normalized(everything))
         fields = {name: name for name in WEIGHTS}
     found = field_tokens(chunks, fields)
-    places = found.select("row_id", "field", F.posexplode("words").alias("pos", "term"))
-    if terms is not None:
-        places = places.join(terms.select("term").distinct(), "term", "left_semi")
-    postings = (
-        places.groupBy("term", "row_id", "field")
-        .agg(F.count(F.lit(1)).alias("tf"), F.array_sort(F.collect_list("pos")).alias("positions"))
-    )
-    lengths = found.groupBy("row_id").agg(F.sum(F.size("words")).alias("dl"))
-    return Index(postings, lengths, corpus_figures(lengths))
+    if terms is None:
+        places = found.select("row_id", "field", F.posexplode("words").alias("pos", "term"))
+        postings = places.groupBy("term", "row_id", "field").agg(*_gathered(positions))
+        lengths = found.groupBy("row_id").agg(F.sum(F.size("words")).alias("dl"))
+        return Index(postings, lengths, corpus_figures(lengths))
+    places = found.select("row_id", "field", F.posexplode_outer("words").alias("pos", "word"))
+    wanted = stored(terms.select("term").distinct(), "batch-terms")
+    small = wanted.count() <= MOST_TERMS
+    met = places.join(F.broadcast(wanted) if small else wanted, F.col("word") == F.col("term"), "left")
+    counted = stored(met.groupBy("term", "row_id", "field").agg(*_gathered(positions)), "batch-postings")
+    lengths = counted.groupBy("row_id").agg(F.sum("tf").alias("dl"))
+    return Index(counted.where(F.col("term").isNotNull()), lengths, corpus_figures(lengths))
+
+
+def _gathered(positions: bool) -> list[Column]:
+    known = F.when(F.col("term").isNotNull(), F.col("pos"))  # words that no query asks for have no places
+    return [F.count("pos").alias("tf"), *([F.array_sort(F.collect_list(known)).alias("positions")] if positions else [])]
 
 
 def corpus_figures(lengths: DataFrame) -> DataFrame:
@@ -183,7 +193,11 @@ def top_rows(found: DataFrame, limit: int, digits: int = 9) -> DataFrame:
 def search(index: Index, terms: DataFrame, limit: int = 8, weights: dict[str, float] = WEIGHTS, chunks: DataFrame | None = None) -> DataFrame:
     """A batch of queries of any mode. With ``chunks`` (row_id, document_id, title, ordinal, front_matter), front
     matter ranks last and a document whose title is the query comes first."""
-    found = match_terms(index, terms, weights).unionByName(match_phrases(index, terms, weights))
+    found = match_terms(index, terms, weights)
+    if "positions" in index.postings.columns:
+        found = found.unionByName(match_phrases(index, terms, weights))
+    elif terms.where(F.col("mode") == "phrase").limit(1).count():
+        raise ValueError("the index holds no positions, which phrases need")
     if chunks is None:
         return top_rows(found, limit).withColumn("reason", F.lit("bm25"))
     known = chunks.select("row_id", "document_id", "title", "ordinal", "front_matter")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import ranking, text, vectors
 from quarry.operators import citations, corpus, evaluation, fusion, lexical, semantic
-from quarry.plans.tables import QUERY_WORDS, benchmark_terms, table, text_chunks, turn_chunks
+from quarry.plans.tables import benchmark_terms, table, text_chunks, turn_chunks
 from quarry.runtime import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,13 +92,8 @@ def storage_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 # lexical retrieval
 
 
-@query(f"SELECT doc_id, len(t) AS n_tokens, array_to_string(t[1:20], ' ') AS first_tokens FROM (SELECT doc_id, {tokens_sql('text')} AS t FROM documents)")
-def tokenize_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", text.tokens(F.col("text")).alias("t")).select("doc_id", F.size("t").cast("long").alias("n_tokens"), F.array_join(F.slice("t", 1, 20), " ").alias("first_tokens"))
-
-
 @query(f"SELECT doc_id, len(t) AS n_tokens, sha256(array_to_string(t, ' ')) AS tokens_sha256 FROM (SELECT doc_id, {tokens_sql('text')} AS t FROM documents)")
-def tokenize_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tokenize_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All tokens of each document, as a hash."""
     return table(spark, sf_dir, "documents").select("doc_id", text.tokens(F.col("text")).alias("t")).select("doc_id", F.size("t").cast("long").alias("n_tokens"), F.sha2(F.array_join("t", " ").cast("binary"), 256).alias("tokens_sha256"))
 
@@ -134,12 +129,11 @@ _FIELDS = {"title": "title", "heading": "heading", "text": "text"}
 
 
 def _plain_index(spark: SparkSession, sf_dir: str, terms: DataFrame | None = None) -> lexical.Index:
-    """For a batch of queries: the postings of their terms, stored."""
-    index = lexical.build_index(text_chunks(spark, sf_dir), _FIELDS, terms)
-    return index if terms is None else index.store()
+    """For a batch of AND and OR queries: the postings of their terms, stored."""
+    return lexical.build_index(text_chunks(spark, sf_dir), _FIELDS, terms, positions=False)
 
 
-def _bm25_sql(mode: str, limit: int = 10, words: int | None = 3) -> str:
+def _bm25_sql(mode: str, limit: int = 10) -> str:
     return f"""
 WITH f AS (
   SELECT doc_id, 5.0 AS w, {tokens_sql("coalesce(source, '')")} AS t FROM documents UNION ALL
@@ -148,7 +142,7 @@ WITH f AS (
 ), dl AS (SELECT doc_id, sum(len(t)) AS dl FROM f GROUP BY doc_id),
 s AS (SELECT count(*) AS n, sum(dl) / count(*) AS avgdl FROM dl),
 plan AS (
-  SELECT item_id, (CASE WHEN len(k) > 0 THEN k ELSE t END){'' if words is None else f'[1:{words}]'} AS terms FROM (
+  SELECT item_id, CASE WHEN len(k) > 0 THEN k ELSE t END AS terms FROM (
     SELECT item_id, t, list_filter(t, lambda x: NOT list_contains({_STOP}, x)) AS k FROM (SELECT item_id, {tokens_sql('text')} AS t FROM benchmark))
 ), q AS (SELECT item_id, unnest(terms) AS term, generate_subscripts(terms, 1) AS pos FROM plan),
 p AS (SELECT term, doc_id, sum(w) AS f FROM (SELECT doc_id, w, unnest(t) AS term FROM f) WHERE term IN (SELECT term FROM q) GROUP BY term, doc_id),
@@ -163,14 +157,15 @@ h AS (
 SELECT item_id AS query_id, doc_id AS row_id, round(score, 6) AS score, rank FROM r WHERE rank <= {limit}"""
 
 
-def _bm25(spark: SparkSession, sf_dir: str, mode: str, limit: int = 10, words: int | None = QUERY_WORDS) -> DataFrame:
-    terms = benchmark_terms(spark, sf_dir, mode, words)
+def _bm25(spark: SparkSession, sf_dir: str, mode: str, limit: int = 10) -> DataFrame:
+    terms = benchmark_terms(spark, sf_dir, mode)
     found = lexical.search(_plain_index(spark, sf_dir, terms), terms, limit)
     return found.select("query_id", "row_id", F.round("raw_score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
 @query(_bm25_sql("or"))
 def bm25_or(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every term of every passage."""
     return _bm25(spark, sf_dir, "or")
 
 
@@ -179,41 +174,11 @@ def bm25_and(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bm25(spark, sf_dir, "and")
 
 
-@query(_bm25_sql("or", words=None))
-def bm25_or_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every term of every passage."""
-    return _bm25(spark, sf_dir, "or", words=None)
-
-
-@query(_bm25_sql("and", words=None))
-def bm25_and_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bm25(spark, sf_dir, "and", words=None)
-
-
 @query()
 def bm25_four_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With the field of technical names; held against SQLite's own ranking in the tests."""
-    terms = benchmark_terms(spark, sf_dir, "or", None)
-    found = lexical.search(lexical.build_index(text_chunks(spark, sf_dir), terms=terms).store(), terms, 10)
-    return found.select("query_id", "row_id", F.round("raw_score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
-
-
-@query(f"""
-WITH t AS (SELECT doc_id, {tokens_sql("coalesce(text, '')")} AS t FROM documents),
-plan AS (SELECT item_id, (CASE WHEN len(k) > 0 THEN k ELSE t END)[1:2] AS terms FROM (
-    SELECT item_id, t, list_filter(t, lambda x: NOT list_contains({_STOP}, x)) AS k FROM (SELECT item_id, {tokens_sql('text')} AS t FROM benchmark))),
-w AS (SELECT doc_id, unnest(t) AS a, unnest(list_concat(t[2:], [NULL])) AS b FROM t),
-p AS (SELECT a, b, doc_id, count(*) AS f FROM w GROUP BY ALL),
-s AS (SELECT count(*) AS n, sum(len(t)) / count(*) AS avgdl FROM t),
-h AS (SELECT item_id, p.doc_id, p.f, len(t.t) AS dl, count(*) OVER (PARTITION BY item_id) AS df FROM plan JOIN p ON p.a = terms[1] AND p.b = terms[2] JOIN t ON t.doc_id = p.doc_id WHERE len(terms) = 2),
-r AS (SELECT item_id, doc_id, -(CASE WHEN ln((n - df + 0.5) / (df + 0.5)) <= 0 THEN 1e-6 ELSE ln((n - df + 0.5) / (df + 0.5)) END) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * dl / avgdl)) AS score FROM h, s),
-k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 9), doc_id) AS rank FROM r)
-SELECT item_id AS query_id, doc_id AS row_id, round(score, 6) AS score, rank FROM k WHERE rank <= 10""")
-def bm25_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = benchmark_terms(spark, sf_dir, "phrase", 2)
-    index = lexical.build_index(text_chunks(spark, sf_dir), {"text": "text"}, pairs).store()
-    whole = pairs.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where("n = 2")
-    found = lexical.search(index, pairs.join(whole.select("query_id"), "query_id", "left_semi"), 10)
+    terms = benchmark_terms(spark, sf_dir, "or")
+    found = lexical.search(lexical.build_index(text_chunks(spark, sf_dir), terms=terms, positions=False), terms, 10)
     return found.select("query_id", "row_id", F.round("raw_score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
@@ -226,10 +191,10 @@ h AS (SELECT item_id, doc_id, len(t) AS dl, len(list_filter(range(1, len(t) - n
 r AS (SELECT item_id, doc_id, -(CASE WHEN ln((n_docs - df + 0.5) / (df + 0.5)) <= 0 THEN 1e-6 ELSE ln((n_docs - df + 0.5) / (df + 0.5)) END) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * dl / avgdl)) AS score FROM h, s),
 k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 9), doc_id) AS rank FROM r)
 SELECT item_id AS query_id, doc_id AS row_id, round(score, 6) AS score, rank FROM k WHERE rank <= 10""")
-def bm25_phrase_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bm25_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole passages as phrases, stop words and all."""
-    terms = benchmark_terms(spark, sf_dir, "phrase", None)
-    index = lexical.build_index(text_chunks(spark, sf_dir), {"text": "text"}, terms).store()
+    terms = benchmark_terms(spark, sf_dir, "phrase")
+    index = lexical.build_index(text_chunks(spark, sf_dir), {"text": "text"}, terms)
     found = lexical.search(index, terms, 10)
     return found.select("query_id", "row_id", F.round("raw_score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
@@ -267,18 +232,17 @@ def l2_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _UNIT = "SELECT vec_id, label, list_transform(d, lambda x: x / sqrt(list_sum(list_transform(d, lambda y: y * y)))) AS e FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS d FROM embeddings)"
-_TOP = f"""WITH v AS ({_UNIT}), s AS (SELECT q.vec_id AS query_id, v.vec_id, v.label, list_dot_product(q.e, v.e) AS score FROM v q, v WHERE q.vec_id < 100),
+_TOP = f"""WITH v AS ({_UNIT}), s AS (SELECT q.vec_id AS query_id, v.vec_id, v.label, list_dot_product(q.e, v.e) AS score FROM v q, v WHERE q.vec_id % 50 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, vec_id) AS rank FROM s)"""
 
 
 _DUE = "vec_id % 50 = 0"
-_TOP_DUE = _TOP.replace("q.vec_id < 100", f"q.{_DUE}")
 
 
-def _vector_top(spark: SparkSession, sf_dir: str, limit: int, due: str = "vec_id < 100") -> DataFrame:
-    """The queries are the vectors that are ``due``, by default those with ids below 100, against all vectors."""
+def _vector_top(spark: SparkSession, sf_dir: str, limit: int) -> DataFrame:
+    """Every fiftieth vector against all vectors."""
     every = table(spark, sf_dir, "embeddings")
-    return semantic.top_k(every, every.where(due).select(F.col("vec_id").alias("query_id"), "embedding"), limit)
+    return semantic.top_k(every, every.where(_DUE).select(F.col("vec_id").alias("query_id"), "embedding"), limit)
 
 
 _TOP_TEN = " SELECT query_id, vec_id, round(score, 6) AS score, rank FROM r WHERE rank <= 10"
@@ -286,17 +250,7 @@ _TOP_TEN = " SELECT query_id, vec_id, round(score, 6) AS score, rank FROM r WHER
 
 @query(_TOP + _TOP_TEN)
 def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _topk(spark, sf_dir)
-
-
-@query(_TOP_DUE + _TOP_TEN)
-def vector_topk_due(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every fiftieth vector as a query, in blocks."""
-    return _topk(spark, sf_dir, _DUE)
-
-
-def _topk(spark: SparkSession, sf_dir: str, due: str = "vec_id < 100") -> DataFrame:
-    return _vector_top(spark, sf_dir, 10, due).select("query_id", "vec_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
+    return _vector_top(spark, sf_dir, 10).select("query_id", "vec_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
 _BEST = """, b AS (SELECT *, row_number() OVER (PARTITION BY query_id, label ORDER BY rank) AS k FROM r WHERE rank <= 256),
@@ -306,16 +260,7 @@ SELECT query_id, vec_id, label, place AS rank FROM c WHERE place <= 4"""
 
 @query(_TOP + _BEST)
 def vector_best_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _best_groups(spark, sf_dir)
-
-
-@query(_TOP_DUE + _BEST)
-def vector_best_per_group_due(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _best_groups(spark, sf_dir, _DUE)
-
-
-def _best_groups(spark: SparkSession, sf_dir: str, due: str = "vec_id < 100") -> DataFrame:
-    pool = _vector_top(spark, sf_dir, 256, due).join(table(spark, sf_dir, "embeddings").select("vec_id", "label"), "vec_id")
+    pool = _vector_top(spark, sf_dir, 256).join(table(spark, sf_dir, "embeddings").select("vec_id", "label"), "vec_id")
     return semantic.best_per_group(pool, "label", 4).select("query_id", "vec_id", "label", F.col("rank").cast("long").alias("rank"))
 
 
@@ -328,7 +273,7 @@ def vector_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return semantic.reuse_plan(every, old, by_document=False).select("id", "fingerprint", "vector_id")
 
 
-@query("SELECT count(*) AS n, min(vec_id) AS least, max(vec_id) AS most, count(DISTINCT vec_id) AS ids, CAST(0 AS BIGINT) AS unusable, count(*) = count(DISTINCT vec_id) AND min(vec_id) = 0 AND max(vec_id) = count(*) - 1 AS contiguous FROM embeddings")
+@query("SELECT count(*) AS n, min(vec_id) AS least, max(vec_id) AS most, count(DISTINCT vec_id) AS ids, count(*) FILTER (len(embedding) <> 64 OR list_bool_or(list_transform(embedding, lambda x: NOT isfinite(x))) OR list_sum(list_transform(embedding, lambda x: x * x)) = 0) AS unusable, count(*) = count(DISTINCT vec_id) AND min(vec_id) = 0 AND max(vec_id) = count(*) - 1 AS contiguous FROM embeddings")
 def vector_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return semantic.verify_vectors(table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "vector_id"), 64)
 
@@ -337,27 +282,25 @@ def vector_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ROUTED = f"bm25 AS ({_bm25_sql('or', 50)}), vec AS ({_TOP} SELECT query_id, vec_id AS row_id, rank FROM r WHERE rank <= 50)"
-_ROUTED_WHOLE = f"bm25 AS ({_bm25_sql('or', 50, None)}), vec AS ({_TOP_DUE} SELECT query_id, vec_id AS row_id, rank FROM r WHERE rank <= 50)"
 
 
-def _rankings(spark: SparkSession, sf_dir: str, whole: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Lexical and vector rankings, ``whole`` of whole passages and every fiftieth vector; a vector stands for the
-    document of its id."""
-    lexical_rank = _bm25(spark, sf_dir, "or", 50, None if whole else QUERY_WORDS).select("query_id", F.col("row_id").alias("document_id"), "rank")
-    vector_rank = _vector_top(spark, sf_dir, 50, _DUE if whole else "vec_id < 100").select("query_id", F.col("vec_id").alias("document_id"), "rank")
+def _rankings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Lexical and vector rankings; a vector stands for the document of its id."""
+    lexical_rank = _bm25(spark, sf_dir, "or", 50).select("query_id", F.col("row_id").alias("document_id"), "rank")
+    vector_rank = _vector_top(spark, sf_dir, 50).select("query_id", F.col("vec_id").alias("document_id"), "rank")
     return lexical_rank, vector_rank
 
 
-def _rrf_sql(w_lexical: float, w_vector: float, routed: str = _ROUTED) -> str:
-    return f"""WITH {routed},
+def _rrf_sql(w_lexical: float, w_vector: float) -> str:
+    return f"""WITH {_ROUTED},
 a AS (SELECT query_id, row_id, rank, {w_lexical} AS w, 1 AS l FROM bm25 UNION ALL SELECT query_id, row_id, rank, {w_vector}, 0 FROM vec),
 f AS (SELECT query_id, row_id, sum(w / (60 + rank)) AS score, min(CASE WHEN l = 1 THEN rank END) AS lexical_rank, min(CASE WHEN l = 0 THEN rank END) AS vector_rank FROM a GROUP BY query_id, row_id),
 p AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, row_id) AS position FROM f)
 SELECT query_id, row_id AS document_id, round(score, 9) AS fusion_score, lexical_rank, vector_rank, position FROM p WHERE position <= 10"""
 
 
-def _rrf(spark: SparkSession, sf_dir: str, w_lexical: float, w_vector: float, whole: bool = False) -> DataFrame:
-    a, b = _rankings(spark, sf_dir, whole)
+def _rrf(spark: SparkSession, sf_dir: str, w_lexical: float, w_vector: float) -> DataFrame:
+    a, b = _rankings(spark, sf_dir)
     fused = fusion.reciprocal_rank_fusion({"lexical": (a, w_lexical), "vector": (b, w_vector)}, 10)
     return fused.select("query_id", "document_id", F.round("fusion_score", 9).alias("fusion_score"), "lexical_rank", "vector_rank", F.col("position").cast("long").alias("position"))
 
@@ -372,18 +315,8 @@ def rrf_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rrf(spark, sf_dir, 0.7, 1.3)
 
 
-@query(_rrf_sql(1.0, 1.0, _ROUTED_WHOLE))
-def rrf_hybrid_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rrf(spark, sf_dir, 1.0, 1.0, True)
-
-
-@query(_rrf_sql(0.7, 1.3, _ROUTED_WHOLE))
-def rrf_weighted_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rrf(spark, sf_dir, 0.7, 1.3, True)
-
-
-def _federated_sql(routed: str = _ROUTED) -> str:
-    return f"""WITH {routed},
+def _federated_sql() -> str:
+    return f"""WITH {_ROUTED},
 a AS (SELECT query_id, row_id, rank, 'lexical' AS corpus, 0 AS o FROM bm25 UNION ALL SELECT query_id, row_id, rank, 'vector', 1 FROM vec),
 p AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY 1.0 / (60 + rank) DESC, o, row_id) AS position FROM a)
 SELECT query_id, row_id AS document_id, corpus, position FROM p WHERE position <= 12"""
@@ -391,16 +324,7 @@ SELECT query_id, row_id AS document_id, corpus, position FROM p WHERE position <
 
 @query(_federated_sql())
 def rrf_federated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _federated(spark, sf_dir)
-
-
-@query(_federated_sql(_ROUTED_WHOLE))
-def rrf_federated_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _federated(spark, sf_dir, True)
-
-
-def _federated(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
-    a, b = (r.withColumn("exact_title", F.lit(False)) for r in _rankings(spark, sf_dir, whole))
+    a, b = (r.withColumn("exact_title", F.lit(False)) for r in _rankings(spark, sf_dir))
     return fusion.federate({"lexical": a, "vector": b}, 12).select("query_id", "document_id", "corpus", F.col("position").cast("long").alias("position"))
 
 
@@ -409,21 +333,8 @@ _RSTOP = "[" + ", ".join(f"'{w}'" for w in ranking.STOP_WORDS) + "]"
 _RQUESTION = "[" + ", ".join(f"'{w}'" for w in ranking.QUESTION_WORDS) + "]"
 
 
-@query(f"""WITH q AS (SELECT item_id, array_to_string(string_split(regexp_replace(text, '\\s+', ' ', 'g'), ' ')[1:(3 + CAST(item_id % 8 AS INTEGER))], ' ') AS q FROM benchmark),
-t AS (SELECT item_id, {_QTOK.format("regexp_replace(q, '[^ -~]', ' ', 'g')")} AS t FROM q),
-m AS (SELECT item_id, t, list_filter(t, lambda x: NOT list_contains({_RSTOP}, x)) AS k FROM t)
-SELECT item_id, CASE WHEN len(t) > 0 AND NOT list_contains({_RQUESTION}, t[1]) AND len(t) <= 7 AND len(CASE WHEN len(k) > 0 THEN k ELSE t END) <= 5 THEN 'bm25' ELSE 'hybrid' END AS retrieval FROM m""")
-def route_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first words of passages, signs aside so that none is an identifier."""
-    words = F.slice(F.split(F.regexp_replace("text", r"\s+", " "), " "), F.lit(1), (F.lit(3) + F.col("item_id") % 8).cast("int"))
-    asked = table(spark, sf_dir, "benchmark").select("item_id", F.regexp_replace(F.array_join(words, " "), "[^ -~]", " ").alias("q"))
-    plain = F.regexp_replace("q", r"\d", "x")
-    retrieval, _ = ranking.route(F.lower(F.regexp_replace(plain, r"[._]", " ")), F.lit("docs"), F.lit(True), F.lit("and"))
-    return asked.select("item_id", retrieval.alias("retrieval"))
-
-
 @query()
-def route_query_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def route_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages and the addresses of pages, which bear identifiers, whole and unaltered; held against a plain version
     in the tests."""
     passages = table(spark, sf_dir, "benchmark").select(F.lit("benchmark").alias("kind"), F.col("item_id").alias("item_id"), F.col("text").alias("q"))
@@ -432,40 +343,49 @@ def route_query_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.unionByName(addresses).select("kind", "item_id", retrieval.alias("retrieval"), reason.alias("reason"))
 
 
-def _rerank_sql(words: int | None = 3) -> str:
-    return f"""WITH bm25 AS ({_bm25_sql('or', 20, words)}),
-q AS (SELECT item_id, {_QTOK.format('text')} AS t FROM benchmark),
-m AS (SELECT item_id, list_distinct(CASE WHEN len(k) > 0 THEN k ELSE t END) AS w FROM (SELECT item_id, t, list_filter(t, lambda x: NOT list_contains({_RSTOP}, x)) AS k FROM q)),
-c AS (SELECT b.query_id, b.row_id, b.rank, w, 1.0 / (60 + b.rank) AS base, {_QTOK.format('source')} AS ti, {_QTOK.format('lang')} AS he, {_QTOK.format('text')} AS te
-      FROM bm25 b JOIN m ON m.item_id = b.query_id JOIN documents d ON d.doc_id = b.row_id),
-s AS (SELECT query_id, row_id, rank, base + least(0.0015, 0.008 * len(list_intersect(w, ti)) / len(w) + 0.004 * len(list_intersect(w, he)) / len(w) + 0.0015 * len(list_intersect(w, te)) / len(w)) AS score FROM c),
-p AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, rank) AS place FROM s)
-SELECT query_id, row_id AS document_id, round(score, 9) AS rerank_score, place AS rerank_position FROM p WHERE place <= 10"""
+#: As RE2 has it; the column's pattern knows letters beyond ASCII, too, which no identifier of the passages has.
+_IDENT = r"(?:\b[A-Z][A-Z0-9_]{2,}\b|\b[A-Za-z][A-Za-z0-9]*_[A-Za-z0-9_]+\b|\b\w+::\w+\b|--[a-z0-9][\w-]*|(?i:\bRFC\s*)?\d{2,5}\b|\b\w+\.\w+\b|(?i:\bC\+\+|\bC#|\.NET\b))"
 
 
-def _rerank(spark: SparkSession, sf_dir: str, words: int | None = QUERY_WORDS) -> DataFrame:
-    ranked = _bm25(spark, sf_dir, "or", 20, words)
-    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.regexp_replace(F.lower("text"), r"[0-9_.:-]", " ").alias("unnamed"), F.col("text").alias("query"))
-    rows = ranked.join(asked, "query_id").join(text_chunks(spark, sf_dir).select("row_id", "title", "heading", "text"), "row_id")
-    rows = rows.select("query_id", F.col("row_id").alias("document_id"), F.col("rank").alias("position"), (1 / (fusion.RRF_K + F.col("rank"))).alias("base_score"), "title", "heading", "text", "query", F.lit(False).alias("dual"), F.lit(False).alias("exact_title"), F.lit("docs").alias("corpus"))
-    found = fusion.rerank(rows).where("rerank_position <= 10")
-    return found.select("query_id", "document_id", F.round("rerank_score", 9).alias("rerank_score"), F.col("rerank_position").cast("long").alias("rerank_position"))
+def _rerank_sql() -> str:
+    return f"""WITH {_ROUTED},
+q AS (SELECT item_id, text || ' ' || CASE item_id % 3 WHEN 0 THEN 'RFC 793' WHEN 1 THEN 'std::vector foo_bar' ELSE '' END AS q FROM benchmark),
+t AS (SELECT item_id, {_QTOK.format('q')} AS t, list_distinct(list_transform(regexp_extract_all(q, '{_IDENT}'), lambda x: lower(x))) AS names FROM q),
+m AS (SELECT item_id, names, list_distinct(CASE WHEN len(k) > 0 THEN k ELSE t END) AS w FROM (SELECT item_id, t, names, list_filter(t, lambda x: NOT list_contains({_RSTOP}, x)) AS k FROM t)),
+c AS (SELECT b.query_id, b.row_id, b.rank, w, names, 1.0 / (60 + b.rank) AS base, v.rank IS NOT NULL AS dual, b.row_id % 5 = b.query_id % 5 AS titled, {_QTOK.format('source')} AS ti, {_QTOK.format('lang')} AS he, {_QTOK.format('x')} AS te,
+        lower(source || ' ' || lang || ' ' || x) AS searched
+      FROM (SELECT * FROM bm25 WHERE rank <= 20) b JOIN m ON m.item_id = b.query_id
+      JOIN (SELECT *, text || CASE doc_id % 4 WHEN 0 THEN ' rfc 793' WHEN 1 THEN ' FOO_BAR' ELSE '' END AS x FROM documents) d ON d.doc_id = b.row_id LEFT JOIN vec v ON v.query_id = b.query_id AND v.row_id = b.row_id),
+s AS (SELECT query_id, row_id, rank, base + least(0.0015, 0.008 * len(list_intersect(w, ti)) / len(w) + 0.004 * len(list_intersect(w, he)) / len(w) + 0.0015 * len(list_intersect(w, te)) / len(w) + CASE WHEN dual THEN 0.002 ELSE 0 END)
+        + CASE WHEN len(names) = 0 THEN 0 ELSE 0.035 * len(list_filter(names, lambda x: contains(searched, x))) / len(names) END + CASE WHEN titled THEN 0.10 ELSE 0 END AS score FROM c),
+p AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, rank) AS place FROM s)
+SELECT query_id, row_id AS document_id, round(score, 9) AS rerank_score, place AS rerank_position FROM p WHERE place <= 10"""
 
 
 @query(_rerank_sql())
 def rerank_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rerank(spark, sf_dir)
-
-
-@query(_rerank_sql(None))
-def rerank_evidence_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rerank(spark, sf_dir, None)
+    """The best twenty documents of each passage by their evidence. Two of three queries and half of the documents bear
+    technical names besides their own words, one in five is taken for an exact title, and documents that the vector
+    ranking has, too, are known by both, so that every feature counts."""
+    ranked, by_vector = _rankings(spark, sf_dir)
+    ranked = ranked.where("rank <= 20").join(by_vector.select("query_id", "document_id", F.lit(True).alias("dual")), ["query_id", "document_id"], "left")
+    kind = lambda c, n: F.col(c) % n
+    more = F.when(kind("item_id", 3) == 0, "RFC 793").when(kind("item_id", 3) == 1, "std::vector foo_bar").otherwise("")
+    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.concat("text", F.lit(" "), more).alias("query"))
+    also = F.when(kind("row_id", 4) == 0, " rfc 793").when(kind("row_id", 4) == 1, " FOO_BAR").otherwise("")
+    texts = text_chunks(spark, sf_dir).select("document_id", "title", "heading", F.concat("text", also).alias("text"))
+    rows = ranked.join(asked, "query_id").join(texts, "document_id").select(
+        "query_id", "document_id", F.col("rank").alias("position"), (1 / (fusion.RRF_K + F.col("rank"))).alias("base_score"), "title", "heading", "text", "query",
+        F.coalesce("dual", F.lit(False)).alias("dual"), (kind("document_id", 5) == kind("query_id", 5)).alias("exact_title"), F.lit("docs").alias("corpus"),
+    )
+    found = fusion.rerank(rows).where("rerank_position <= 10")
+    return found.select("query_id", "document_id", F.round("rerank_score", 9).alias("rerank_score"), F.col("rerank_position").cast("long").alias("rerank_position"))
 
 
 @query()
 def evidence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best twenty passages of each query, near copies set aside; order decides, so SQL cannot express it."""
-    ranked = _bm25(spark, sf_dir, "or", 20, None).select("query_id", F.col("rank").alias("position"), "row_id")
+    ranked = _bm25(spark, sf_dir, "or", 20).select("query_id", F.col("rank").alias("position"), "row_id")
     texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), "text")
     rows = ranked.join(texts, "row_id").select("query_id", "position", F.col("row_id").cast("string").alias("document_id"), text.content_id(F.col("text")).alias("content_id"), "text")
     return fusion.deduplicate_ranked(rows).withColumn("alternates", F.array_join("alternates", ","))
@@ -558,9 +478,9 @@ def chunk_representation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_chunks(spark, sf_dir).select("document_id", "ordinal", corpus.chunk_representation(F.col("title"), path, F.col("text"), 300).alias("embedding_text"))
 
 
-@query("SELECT conv_id AS document_id, turn AS ordinal, last_value(CASE WHEN role = 'system' THEN left(text, 40) END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS heading FROM conversations")
+@query("SELECT conv_id AS document_id, turn AS ordinal, last_value(CASE WHEN role = 'system' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS heading FROM conversations")
 def forward_fill_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = turn_chunks(spark, sf_dir).withColumn("heading", F.when(F.col("role") == "system", F.substring("text", 1, 40)))
+    rows = turn_chunks(spark, sf_dir).withColumn("heading", F.when(F.col("role") == "system", F.col("text")))
     return corpus.forward_fill(rows, "heading", "document_id", "ordinal").select("document_id", "ordinal", "heading")
 
 
@@ -603,9 +523,11 @@ def update_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.update_summary(_generations(spark, sf_dir))
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_orderpriority = '1-URGENT')")
 def orphan_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus.orphans(table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders"), "c_custkey", "o_custkey").select("c_custkey", "c_name")
+    """Customers without an urgent order."""
+    some = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
+    return corpus.orphans(table(spark, sf_dir, "customer"), some, "c_custkey", "o_custkey").select("c_custkey", "c_name")
 
 
 @query("SELECT count(*) AS broken FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)")

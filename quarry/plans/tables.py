@@ -1,13 +1,11 @@
 """How the supplied tables stand for a corpus: source as title, language as corpus, conversations as documents of
-ordered chunks, and benchmark passages, whole or their first words, as queries."""
+ordered chunks, and benchmark passages as queries."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-QUERY_WORDS = 3
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -29,12 +27,11 @@ def turn_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("conv_id").alias("document_id"), F.col("turn").alias("ordinal"), chunk.alias("chunk_id"), "role", "text", F.concat(F.lit("Conversation "), F.col("conv_id").cast("string")).alias("title"))
 
 
-def benchmark_terms(spark: SparkSession, sf_dir: str, mode: str, words: int | None = QUERY_WORDS) -> DataFrame:
-    """(query_id, mode, pos, term) of every benchmark passage's first planned terms, or with ``words`` None of all; a
-    whole phrase keeps its stop words."""
+def benchmark_terms(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    """(query_id, mode, pos, term) of all planned terms of every benchmark passage; a phrase keeps its stop words."""
     from quarry.functions.text import tokens
     from quarry.operators.lexical import plan_terms
 
-    every = tokens(F.col("text")) if words is None and mode == "phrase" else plan_terms(F.col("text"))
-    rows = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), (every if words is None else F.slice(every, 1, words)).alias("terms"))
+    terms = tokens(F.col("text")) if mode == "phrase" else plan_terms(F.col("text"))
+    rows = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), terms.alias("terms"))
     return rows.select("query_id", F.lit(mode).alias("mode"), F.posexplode("terms").alias("pos", "term"))

@@ -23,10 +23,10 @@ def test_late_terms_of_a_passage_are_searched(spark, tmp_path):
     passage = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
     docs = [(1, "the kappa alone", "en", "web"), (2, f"before {passage} after", "en", "web"), (3, "alpha beta gamma delta epsilon zeta eta theta", "en", "web"), (4, "nothing", "en", "web")]
     at = tables(spark, tmp_path, documents=(docs, DOCS), benchmark=([(7, passage)], "item_id long, text string"))
-    for f in (queries.bm25_or_whole, queries.bm25_four_fields, queries.evidence_dedup):
+    for f in (queries.bm25_or, queries.bm25_four_fields, queries.evidence_dedup):
         got = f(spark, at).collect()
         assert {int(r["row_id"] if "row_id" in r else r["document_id"]) for r in got} == {1, 2, 3}
-    for f in (queries.bm25_and_whole, queries.bm25_phrase_whole):
+    for f in (queries.bm25_and, queries.bm25_phrase):
         assert [r["row_id"] for r in f(spark, at).collect()] == [2]
     whole = [r for r in queries.query_relaxation(spark, at).collect() if "whole" in r["matched_variants"]]
     assert [r["document_id"] for r in whole] == [2]
@@ -36,8 +36,8 @@ def test_every_fiftieth_vector_is_a_query(spark, tmp_path):
     rows = [(i, [float(i % 7 + 1), float(i % 11)], i % 3) for i in range(320)]
     at = tables(spark, tmp_path, embeddings=(rows, "vec_id long, embedding array<float>, label int"))
     due = set(range(0, 320, 50))
-    assert {r["query_id"] for r in queries.vector_topk_due(spark, at).collect()} == due
-    assert {r["query_id"] for r in queries.vector_best_per_group_due(spark, at).collect()} == due
+    assert {r["query_id"] for r in queries.vector_topk(spark, at).collect()} == due
+    assert {r["query_id"] for r in queries.vector_best_per_group(spark, at).collect()} == due
 
 
 def test_technical_names_of_whole_documents(spark, sf, tmp_path):
@@ -51,7 +51,7 @@ def test_technical_names_of_whole_documents(spark, sf, tmp_path):
 def test_late_tokens_change_the_hash(spark, tmp_path):
     words = " ".join(f"w{i}" for i in range(30))
     at = tables(spark, tmp_path, documents=([(1, f"{words} x", "en", "web"), (2, f"{words} y", "en", "web")], DOCS))
-    assert len({r["tokens_sha256"] for r in queries.tokenize_hash(spark, at).collect()}) == 2
+    assert len({r["tokens_sha256"] for r in queries.tokenize_terms(spark, at).collect()}) == 2
 
 
 def routed(query):
@@ -74,7 +74,7 @@ def test_routes_of_whole_texts(spark, sf, tmp_path):
     for path in (at, sf):
         texts = {("benchmark", r["item_id"]): r["text"] for r in spark.read.parquet(f"{path}/benchmark.parquet").collect()}
         texts |= {("pages", r["page_id"]): r["url"] for r in spark.read.parquet(f"{path}/pages.parquet").collect()}
-        got = {(r["kind"], r["item_id"]): (r["retrieval"], r["reason"]) for r in queries.route_query_whole(spark, path).collect()}
+        got = {(r["kind"], r["item_id"]): (r["retrieval"], r["reason"]) for r in queries.route_query(spark, path).collect()}
         assert got == {k: routed(v or "") for k, v in texts.items()}
         assert "technical identifiers dominate" in {why for _, why in got.values()}
 
