@@ -37,7 +37,7 @@ def first_per_document(ranked: DataFrame) -> DataFrame:
     return kept.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("rank", "row_id")))
 
 
-def federate(per_corpus: dict[str, DataFrame], limit: int) -> DataFrame:
+def federate(per_corpus: dict[str, DataFrame], limit: int | None) -> DataFrame:
     """Lists of several corpora as one: documents with the exact title first, then 1 / (60 + rank), then the order in
     which the corpora are given, then document_id. Frames have query_id, document_id, rank, exact_title."""
     parts = [df.select("query_id", "document_id", "rank", "exact_title", F.lit(name).alias("corpus"), F.lit(i).alias("corpus_order")) for i, (name, df) in enumerate(per_corpus.items())]
@@ -46,7 +46,8 @@ def federate(per_corpus: dict[str, DataFrame], limit: int) -> DataFrame:
         every = every.unionByName(part)
     scored = every.withColumn("federation_score", 1 / (RRF_K + F.col("rank")))
     order = Window.partitionBy("query_id").orderBy(F.col("exact_title").desc(), F.col("federation_score").desc(), "corpus_order", "document_id")
-    return scored.withColumn("position", F.row_number().over(order)).where(F.col("position") <= limit)
+    ranked = scored.withColumn("position", F.row_number().over(order))
+    return ranked if limit is None else ranked.where(F.col("position") <= limit)
 
 
 def rerank(rows: DataFrame, query: Column | str = "query") -> DataFrame:

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import functools
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.vectors import is_usable, normalize
-from quarry.runtime import ship
+from quarry.runtime import ship, stored
 
 MOST_QUERIES = 4096  # of one block: what is sent to every task has at most so many vectors
 MOST_RESULTS = 1000
@@ -47,22 +50,22 @@ def top_k(vectors: DataFrame, queries: DataFrame, limit: int, digits: int = 9, m
     ship(spark)
     usable = vectors.where(is_usable(F.col("embedding"))).select("vec_id", normalize(F.col("embedding")).alias("embedding"))
     asked = queries.where(is_usable(F.col("embedding"))).select("query_id", normalize(F.col("embedding")).alias("embedding"))
-    out, block = None, []
+    order = Window.partitionBy("query_id").orderBy(F.round("score", digits).desc(), "vec_id")
 
-    def search(block: list) -> DataFrame:
+    def search(block: list) -> tuple[DataFrame, Broadcast]:
         shared = spark.sparkContext.broadcast((np.array([r["query_id"] for r in block]), np.array([r["embedding"] for r in block], dtype=np.float64)))
-        return usable.mapInArrow(_best(shared, limit), "query_id long, vec_id long, score double")
-
-    for row in asked.toLocalIterator():
-        block.append(row)
-        if len(block) == MOST_QUERIES:
-            found, block = search(block), []
-            out = found if out is None else out.unionByName(found)
-    if block or out is None:
-        found = search(block) if block else spark.createDataFrame([], "query_id long, vec_id long, score double")
-        out = found if out is None else out.unionByName(found)
-    order = Window.partitionBy("query_id").orderBy(F.round("score", digits).desc(), "vec_id")
-    return out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
+        found = usable.mapInArrow(_best(shared, limit), "query_id long, vec_id long, score double")
+        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit), shared
+
+    done, rows = [], asked.toLocalIterator()
+    block = list(itertools.islice(rows, MOST_QUERIES))
+    while following := list(itertools.islice(rows, MOST_QUERIES)):  # a block is answered and its broadcast given up before the next is sent
+        found, shared = search(block)
+        done.append(stored(found, "nearest"))
+        shared.destroy()
+        block = following
+    last = search(block)[0] if block else spark.createDataFrame([], "query_id long, vec_id long, score double, rank int")
+    return functools.reduce(DataFrame.unionByName, [*done, last])
 
 
 def best_per_group(ranked: DataFrame, group: str, limit: int) -> DataFrame:

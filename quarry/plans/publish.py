@@ -21,15 +21,19 @@ def _fs(spark: SparkSession, path: str):
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """To a temporary name first, then renamed."""
+    """To a temporary name first, then renamed over what was there, in one step: a reader finds the old text or the
+    new one."""
     fs, target = _fs(spark, path)
-    draft = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    context, jvm = spark.sparkContext, spark.sparkContext._jvm
+    draft = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
     out = fs.create(draft, True)
     out.write(bytearray(text.encode()))
     out.close()
-    fs.delete(target, False)
-    if not fs.rename(draft, target):
-        raise OSError(f"cannot publish {path}")
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = context._gateway.new_array(rename, 1)
+    options[0] = rename.valueOf("OVERWRITE")
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(target).toUri(), context._jsc.hadoopConfiguration())
+    files.rename(fs.makeQualified(draft), fs.makeQualified(target), options)
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:

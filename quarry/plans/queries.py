@@ -218,7 +218,7 @@ def query_relaxation(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), lexical.plan_terms(F.col("text")).alias("terms"))
     index = _plain_index(spark, sf_dir, rows.select(F.explode("terms").alias("term")))
     found = search_documents(index, rows, text_chunks(spark, sf_dir), limit=5)
-    return found.select("query_id", "document_id", F.round("fusion_score", 9).alias("fusion_score"), "position", "relaxed", "matched_variants")
+    return found.select("query_id", "document_id", F.round("fusion_score", 9).alias("fusion_score"), "position", "relaxed", F.array_join("matched_variants", "|").alias("matched_variants"), "reason")
 
 
 # vectors
