@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from quarry.runtime import ship, shuffle_partitions, stored
 
-BLOCK_BYTES = 1 << 24
+BLOCK_BYTES = 12 << 20
 BUCKET_BYTES, MOST_BUCKETS = 1 << 21, 1024
 
 #: Fixed value: the pattern for which the cut at :data:`_SURE` is proven. No match holds a blank behind another character.
@@ -101,7 +101,7 @@ def pre_tokens(text: str, pattern: str) -> list[str]:
     return [w for part in _SURE.split(text) for w in ([part] if _unsure(part) else _splitter(pattern).findall(part))]
 
 
-def _squeeze(raw: bytes) -> bytes:
+def _squeeze(raw: bytes | memoryview) -> bytes:
     return zstandard.ZstdCompressor(level=3).compress(raw)
 
 
@@ -111,7 +111,7 @@ def _loose(raw: bytes) -> bytes:
 
 def _numbers(values: np.ndarray) -> bytes:
     """Compressed by byte planes: the high bytes of small numbers cost next to nothing."""
-    return _squeeze(np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
+    return _squeeze(np.ascontiguousarray(values.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4).T).reshape(-1).data)
 
 
 def _numbers_of(raw: bytes) -> np.ndarray:
@@ -130,14 +130,16 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[tup
     texts: list[str] = []
     size = 0
     for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            text = text or ""
-            ids.append(doc_id)
-            texts.append(text)
-            size += len(text) + 32
-            if size >= block_bytes:
-                yield ids, texts
-                ids, texts, size = [], [], 0
+        for lo in range(0, batch.num_rows, 256):
+            part = batch.slice(lo, 256)
+            for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                text = text or ""
+                ids.append(doc_id)
+                texts.append(text)
+                size += len(text) + 32
+                if size >= block_bytes:
+                    yield ids, texts
+                    ids, texts, size = [], [], 0
     if ids:
         yield ids, texts
 
@@ -163,22 +165,25 @@ def _split(pattern: str, buckets: int, block_bytes: int):
                 lengths.append(len(found))
                 mark.update(text.encode())
                 mark.update(b"\xff")
-            del texts
+            texts.clear()
             block = f"{part}-{k}-{mark.hexdigest()}"
             places = np.frombuffer(sequence, dtype=np.uint32) if sequence else np.zeros(0, dtype=np.uint32)
             order = np.argsort(-np.bincount(places, minlength=len(number)), kind="stable")
-            raw = [w.encode() for w in number]
-            raw = [raw[i] for i in order]
-            of_bucket = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in raw), dtype=np.uint32, count=len(raw))
+            unordered = list(number)
+            number.clear()
+            words = [unordered[i] for i in order.tolist()]
+            del unordered
+            of_bucket = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in words), dtype=np.uint32, count=len(words))
             rank = np.empty(len(order), dtype=np.uint32)
             rank[order] = np.arange(len(order), dtype=np.uint32)
             row = {"dest": mark.intdigest() % buckets, "block": block, "bucket": -1, "docs": _numbers(rank[places] if len(rank) else places), "lengths": _numbers(np.array(lengths)), "doc_ids": doc_ids, "of_bucket": _numbers(of_bucket)}
             yield pa.RecordBatch.from_pylist([row], schema=_ARROW)
+            del row, places, sequence, rank
             by = np.argsort(of_bucket, kind="stable")
             cuts = np.flatnonzero(np.diff(of_bucket[by])) + 1
             rows = []
             for group in np.split(by, cuts) if len(by) else []:
-                own = [raw[i] for i in group]
+                own = [words[i].encode() for i in group.tolist()]
                 sizes = np.fromiter(map(len, own), dtype="<u4", count=len(own))
                 bucket = int(of_bucket[group[0]])
                 rows.append({"dest": bucket, "block": block, "bucket": bucket, "words": _squeeze(np.array([len(own)], dtype="<u4").tobytes() + sizes.tobytes() + b"".join(own))})
