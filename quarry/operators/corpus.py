@@ -117,3 +117,28 @@ def retain_answers(posts: DataFrame) -> DataFrame:
     answers = posts.where("kind = 'answer'").drop("accepted_id").join(questions, "parent_id").withColumn("accepted", F.coalesce(F.col("id") == F.col("_accepted"), F.lit(False)))
     order = Window.partitionBy("parent_id").orderBy(F.col("accepted").desc(), F.col("score").desc(), "id")
     return answers.where(F.col("accepted") | (F.col("score") > 0)).withColumn("place", F.row_number().over(order)).drop("_accepted")
+
+
+def keyset_page(rows: DataFrame, key: str, after, limit: int) -> DataFrame:
+    """The next rows behind a key, in its order: a stream of pages that no offset makes dearer."""
+    further = rows if after is None else rows.where(F.col(key) > F.lit(after))
+    return further.orderBy(key).limit(limit)
+
+
+def evidence_columns(rows: DataFrame, attributes: str = "attributes") -> DataFrame:
+    """``rows`` with what their open JSON field says of the evidence."""
+    said = lambda name: F.get_json_object(attributes, f"$.{name}")
+    timestamp = F.col("source_timestamp") if "source_timestamp" in rows.columns else F.lit(None).cast("string")
+    some = lambda c: F.when(F.length(c) > 0, c)
+    return rows.withColumns({
+        "front_matter": F.coalesce(said("front_matter") == "true", F.lit(False)),
+        "derived_evidence": F.coalesce(said("derived_evidence") == "true", F.lit(False)),
+        "procedure_method": said("procedure_method"),
+        "evidence_kind": F.coalesce(some(said("evidence_kind")), F.when(F.length(said("procedure_method")) > 0, "procedure_method"), F.lit("source_chunk")),
+        "revision_timestamp": F.coalesce(some(said("revision_timestamp")), timestamp),
+    })
+
+
+def occurrences_by_module(occurrences: DataFrame, module: str, place: list[str]) -> DataFrame:
+    """``module`` with its places in all books, in order: (book, ordinal and what else ``place`` names)."""
+    return occurrences.groupBy(module).agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(F.struct(*place))).alias("occurrences"))

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators.lexical import Index, build_index
+from quarry.operators.lexical import build_index, Index, plan_queries, search
 
 POINTER = "CURRENT"
 
@@ -113,3 +113,24 @@ def publish_index(root: str, chunks: DataFrame, meta: dict | None = None) -> str
 def open_index(spark: SparkSession, root: str) -> Index:
     _, read = current(spark, root)
     return Index(read("postings"), read("lengths"), read("corpus"))
+
+
+def verify_index(spark: SparkSession, root: str, smoke: list[str] = ()) -> list[str]:
+    """What is wrong with a published index: numbers of rows, postings without a row or that do not add up to a row's
+    length, and queries that must find something and do not."""
+    known, read = current(spark, root)
+    index, found = Index(read("postings"), read("lengths"), read("corpus")), []
+    for name, rows in known["meta"]["rows"].items():
+        if read(name).count() != rows:
+            found.append(f"{name}: the number of rows is not the one that was published")
+    per_row = index.postings.groupBy("row_id").agg(F.sum("tf").alias("held"))
+    apart = per_row.join(index.lengths, "row_id", "full_outer").where(F.coalesce("held", F.lit(0)) != F.coalesce("dl", F.lit(-1)))
+    if apart.limit(1).count():
+        found.append("postings and lengths do not agree")
+    figures, counted = index.corpus.first(), index.lengths.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
+    if figures["n"] != counted["n"] or abs((figures["avgdl"] or 0) - (counted["avgdl"] or 0)) > 1e-9:
+        found.append("the corpus' figures are not those of its rows")
+    for query in smoke:
+        if not search(index, plan_queries(spark, [("q", query, "and")]), 1).limit(1).count():
+            found.append(f"{query!r} finds nothing")
+    return found

@@ -12,12 +12,12 @@ from pyspark.sql import types as T
 
 from quarry.runtime import ship
 from quarry.schema import BLOCK
-from quarry.sources import markup, xml_docs
+from quarry.sources import golang, markup, xml_docs
 
 # Suffixes of documentation, and folders and files that hold none.
 SUFFIXES = {
     ".html": markup.parse_html, ".htm": markup.parse_html, ".xhtml": markup.parse_html, ".md": markup.parse_markdown, ".mdx": markup.parse_markdown, ".markdown": markup.parse_markdown,
-    ".rst": markup.parse_rst, ".adoc": markup.parse_asciidoc, ".asciidoc": markup.parse_asciidoc, ".pod": markup.parse_pod, ".go": markup.parse_go, ".txt": markup.parse_text, ".man": markup.parse_man, ".roff": markup.parse_man,
+    ".rst": markup.parse_rst, ".adoc": markup.parse_asciidoc, ".asciidoc": markup.parse_asciidoc, ".pod": markup.parse_pod, ".go": golang.parse_go, ".txt": markup.parse_text, ".man": markup.parse_man, ".roff": markup.parse_man,
     ".cnxml": xml_docs.parse_cnxml, ".wiki": markup.parse_wiki,
 }
 IGNORED_FOLDERS = [".git", ".hg", ".svn", "node_modules", "_static", "_sources"]
@@ -43,7 +43,8 @@ def parser_for(path: str, text: str):
 
 
 def parse(path: str, text: str) -> markup.Parsed:
-    return parser_for(path, text)(text, PurePosixPath(path).stem)
+    parser, stem = parser_for(path, text), PurePosixPath(path).stem
+    return parser(text, stem, path) if parser is golang.parse_go else parser(text, stem)
 
 
 def decode(raw: bytes) -> str:

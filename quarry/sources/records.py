@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.text import content_id
@@ -81,3 +81,20 @@ def fingerprint(inventory: DataFrame) -> str:
     """One hash of a listing (relative, length, sha256): it changes with any file, not with the folder's place."""
     row = inventory.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("relative", "length", "sha256")).alias("x"), F.sum(F.col("length")).alias("bytes"))
     return row.select(F.sha2(F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("n", "x", "bytes"))), 256)).first()[0]
+
+
+def read_parts(spark: SparkSession, folder: str, manifest: dict, kind: str, schema: str) -> DataFrame:
+    """The records of all of a manifest's parts (``documents`` or ``chunks``) with their part's number."""
+    out = None
+    for number, documents, chunks in manifest_parts(manifest):
+        path = f"{folder.rstrip('/')}/{documents if kind == 'documents' else chunks}"
+        part = spark.read.schema(schema).option("mode", "FAILFAST").json(path).withColumn("part", F.lit(number))
+        out = part if out is None else out.unionByName(part)
+    return out if out is not None else spark.createDataFrame([], f"{schema}, part int")
+
+
+def require_unchanged(before: DataFrame, after: DataFrame) -> None:
+    """Two listings (relative, length) of one folder, before and after it was read: any difference is an error."""
+    changed = before.join(after.withColumnRenamed("length", "now"), "relative", "full_outer").where(~F.col("length").eqNullSafe(F.col("now"))).select("relative").first()
+    if changed:
+        raise ValueError(f"{changed['relative']} changed while it was read")

@@ -23,6 +23,15 @@ def test_html():
     ]
 
 
+def test_html_edges():
+    kinds = lambda t: [(b.text, b.kind) for b in markup.parse_html(t, "f").blocks]
+    assert kinds("<li>one<p>two</p>three</li>") == [("one", "li"), ("two", "p")]
+    assert kinds("<p>a<nav><p>no</nav>b<img class=anchor>c</p>d") == [("abc", "p")]
+    assert kinds("<p>x<br/>y<!-- <p>no --><b>z</b></p><td id=a CLASS='B c'>q") == [("x yz", "p"), ("q", "td")]
+    assert markup.parse_html("<td id=a class='B'>q", "f").blocks[0].attributes == {"id": "a", "class": "B"}
+    assert markup.parse_html("<title></title><h2>T ¶</h2><p>x", "f").title == "T" and markup.parse_html("", "f") == ("f", [], "html")
+
+
 def test_markdown():
     parsed = markup.parse_markdown("# Guide\n\nIntro.\n\n<!-- no -->\nConfigure\n---\n\n```powershell\ncmake --preset x\n```\n\n    code here\n", "f")
     assert parsed.title == "Guide"
@@ -114,8 +123,40 @@ def test_xml_formats():
 
 
 def test_go_and_wiki():
-    go = markup.parse_go("// Package io reads.\npackage io\n\n// Reader reads.\ntype Reader interface {\n\tRead()\n}\n\nfunc hidden() {}\n", "f")
-    assert go.title == "io" and [b.heading_path for b in go.blocks] == [["package io"], ["type Reader"]]
+    source = """/* Package io reads.
+ * And writes.
+ */
+package io
+
+// Reader reads { and
+// more.
+type Reader interface {
+\tRead() // }
+}
+
+var hidden = 1
+const (
+\tA = "}" // x
+\tb = '{'
+)
+var Text = `func Fake() {`
+
+func (r *File) Open(name string, f func(int) error) (n int, err error) {
+\tfunc Inner() {}
+}
+func plain() {}
+func Last[T any](x T)
+"""
+    go = files.parse("go/src/io/read.go", source)
+    assert go.title == "package io — read"
+    assert [(b.heading_path[1:], b.text, b.attributes.get("go_kind")) for b in go.blocks] == [
+        ([], "Package io reads. And writes.", "package"),
+        (["type Reader"], "Reader reads { and more.\n\ntype Reader interface {\n\tRead() // }\n}", "type"),
+        (["Consts"], "const (\n\tA = \"}\" // x\n\tb = '{'\n)", "const"),
+        (["var Text"], "var Text = `func Fake() {`", "var"),
+        (["method (r *File) Open"], "func (r *File) Open(name string, f func(int) error) (n int, err error)", "method"),
+        (["func Last"], "func Last[T any](x T)", "function"),
+    ]
     text = "Lead '''bold''' [[link|label]]<ref>no</ref> {{box|{{x}}}}\n\n[[File:a.png|thumb|no]]\n== One ==\nBody [[plain]].\n=== Two ===\nInner.\n== Three ==\n\n"
     assert markup.wiki_sections(text) == [([], "Lead bold label"), (["One"], "Body plain."), (["One", "Two"], "Inner.")]
 
