@@ -548,14 +548,18 @@ def block_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 # parsing and addresses
 
 
-_HREF = "list_transform(regexp_extract_all(html, '(?is)<(?:a|area)\\b[^>]*?\\bhref\\s*=\\s*[\"'']?([^\"''\\s>]+)', 1), lambda u: regexp_replace(u, '&amp;', '&', 'g'))"
+_BARE = "regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script>|<style\\b.*?</style>', '', 'g')"
+_HREF = f"list_transform(regexp_extract_all({_BARE}, '(?is)<(?:a|area)\\b[^>]*?\\bhref\\s*=\\s*[\"'']?([^\"''\\s>]+)', 1), lambda u: regexp_replace(u, '&amp;', '&', 'g'))"
 
 
-@query(f"SELECT page_id, len(l) AS n_links, array_to_string(l, ' ') AS targets FROM (SELECT page_id, {_HREF} AS l FROM pages)")
+@query(f"SELECT page_id, len(l) AS n_links, array_to_string(l, ' ') AS targets FROM (SELECT page_id, {_HREF} AS l FROM pages) WHERE len(l) > 0")
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from quarry.sources.files import links
+    """Targets of the anchors of each page that has any, by a parser; comments and scripts hold none."""
+    from quarry.sources.catalog import page_anchors
 
-    return table(spark, sf_dir, "pages").select("page_id", links(F.col("html")).alias("l")).select("page_id", F.size("l").cast("long").alias("n_links"), F.array_join("l", " ").alias("targets"))
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("url"), "html")
+    links = page_anchors(pages).groupBy("url").agg(F.sort_array(F.collect_list(F.struct("place", "href"))).alias("l"))  # the links of one page
+    return links.select(F.col("url").cast("long").alias("page_id"), F.size("l").cast("long").alias("n_links"), F.array_join(F.col("l.href"), " ").alias("targets"))
 
 
 @query("""WITH p AS (SELECT page_id, lower(regexp_extract(url, '(?i)^(https?)://([^/?#]+)([^?#]*)', 1) || '://' || regexp_extract(url, '(?i)^(https?)://([^/?#]+)([^?#]*)', 2)) AS h,
@@ -587,7 +591,13 @@ def chunk_blocks_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_column(docs).select("doc_id", "ordinal", "text", F.length("text").alias("character_count"))
 
 
-@query()
+@query("""WITH RECURSIVE d AS (SELECT doc_id // 1000 AS archive, doc_id, n_chars, row_number() OVER (PARTITION BY doc_id // 1000 ORDER BY doc_id) AS k FROM documents),
+p AS (SELECT archive, doc_id, k, CAST(0 AS BIGINT) AS part, CAST(n_chars AS BIGINT) AS held, CAST(1 AS BIGINT) AS n FROM d WHERE k = 1
+UNION ALL
+SELECT d.archive, d.doc_id, d.k, CASE WHEN p.held + d.n_chars > 50000 OR p.n >= 128 THEN p.part + 1 ELSE p.part END,
+  CASE WHEN p.held + d.n_chars > 50000 OR p.n >= 128 THEN d.n_chars ELSE p.held + d.n_chars END, CASE WHEN p.held + d.n_chars > 50000 OR p.n >= 128 THEN 1 ELSE p.n + 1 END
+FROM p JOIN d ON d.archive = p.archive AND d.k = p.k + 1)
+SELECT archive, doc_id, part FROM p""")
 def part_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives of a thousand documents each, in order, into parts bounded by characters and number: a running sum that
     starts anew, made for each archive."""
@@ -605,6 +615,62 @@ def part_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.groupBy("archive").applyInPandas(run, "archive long, doc_id long, part long")
 
 
+@query("""WITH f AS (SELECT CAST(doc_id AS VARCHAR) AS name, text FROM documents WHERE lang <> 'de'),
+e AS (SELECT CAST(doc_id AS VARCHAR) AS name, CASE WHEN lang = 'fr' THEN sha1('other') ELSE sha1(text) END AS sha1 FROM documents WHERE lang <> 'es')
+SELECT coalesce(f.name, e.name) AS name, CAST(strlen(f.text) AS BIGINT) AS bytes, coalesce(sha1(f.text), e.sha1) AS sha1,
+CASE WHEN f.name IS NULL THEN 'missing' WHEN e.name IS NULL THEN 'unlisted' WHEN sha1(f.text) = e.sha1 THEN 'verified' ELSE 'differs' END AS state FROM f FULL JOIN e ON f.name = e.name""")
+def checksum_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files against a list of hashes: languages are missing here or there, and one is listed wrongly."""
+    from quarry.sources.catalog import checked_files
+
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("name"), "text", "lang")
+    sha = F.sha1(F.when(F.col("lang") == "fr", "other").otherwise(F.col("text")).cast("binary"))
+    files = docs.where("lang <> 'de'").select("name", F.col("text").alias("content"))
+    return checked_files(files, docs.where("lang <> 'es'").select("name", sha.alias("sha1")))
+
+
+@query("SELECT doc_id AS id, row_number() OVER (ORDER BY text, doc_id) - 1 AS vector_id FROM documents")
+def dense_vector_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents numbered without gaps in the order of their texts, over range partitions."""
+    from quarry.plans.vector_generations import dense_ids
+
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.struct(F.col("text").cast("binary").alias("t"), "doc_id").alias("key"))
+    return dense_ids(rows, "key").select("id", "vector_id")
+
+
+@query("""SELECT l_partkey AS module, count(*) AS n, string_agg(l_orderkey || ':' || l_linenumber, ' ' ORDER BY l_orderkey, l_linenumber) AS places FROM lineitem GROUP BY l_partkey""")
+def module_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as modules, orders as books: all places where a module stands."""
+    found = corpus.occurrences_by_module(table(spark, sf_dir, "lineitem").withColumnRenamed("l_partkey", "module"), "module", ["l_orderkey", "l_linenumber"])
+    place = lambda o: F.concat_ws(":", o["l_orderkey"].cast("string"), o["l_linenumber"].cast("string"))
+    return found.select("module", "n", F.array_join(F.transform("occurrences", place), " ").alias("places"))
+
+
+@query("""WITH p AS (SELECT CAST(conv_id AS VARCHAR) AS relative, length(trim(CASE WHEN role = 'user' THEN text ELSE '' END)) > 0 AS t, role = 'assistant' AS i FROM conversations),
+c AS (SELECT relative, count(*) FILTER (t) AS text_pages, count(*) FILTER (NOT t AND i) AS image_pages, count(*) FILTER (NOT t AND NOT i) AS blank_pages FROM p GROUP BY relative)
+SELECT *, CASE WHEN text_pages + image_pages > 0 THEN round(text_pages / (text_pages + image_pages), 9) ELSE 0 END AS ratio FROM c""")
+def searchable_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as paged documents: what users say is text, what assistants say stands for scans."""
+    from quarry.sources.paged import searchable
+
+    said = F.when(F.col("role") == "user", F.col("text"))
+    pages = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("relative"), F.col("turn").alias("page"), said.alias("text"), (F.col("role") == "assistant").alias("has_images"))
+    return searchable(pages).withColumn("ratio", F.round("ratio", 9))
+
+
+@query("""SELECT doc_id, source FROM documents WHERE doc_id > 40 ORDER BY doc_id LIMIT 25""")
+def keyset_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page of 25 rows behind a key: the limit is what the operator is for."""
+    return corpus.keyset_page(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id", 40, 25)
+
+
+@query("""SELECT event_type, CASE WHEN coalesce(json_extract_string(props, '$.k'), '') = '' THEN 'source_chunk' ELSE 'procedure_method' END AS evidence_kind, count(*) AS n FROM events GROUP BY ALL""")
+def evidence_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The kind of evidence that open JSON fields tell of, their member ``k`` taken for a procedure's method."""
+    named = table(spark, sf_dir, "events").select("event_type", F.regexp_replace("props", '"k"', '"procedure_method"').alias("attributes"))
+    return corpus.evidence_columns(named).groupBy("event_type", "evidence_kind").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL")
 def windowed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An extension: the batch form of the streaming aggregate."""

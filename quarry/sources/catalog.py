@@ -49,7 +49,8 @@ def anchors(html: str) -> list[tuple[str, str]]:
 
 
 def page_anchors(pages: DataFrame) -> DataFrame:
-    """url, place, target (absolute, without its fragment) and label of the anchors of ``pages`` (url, html)."""
+    """url, place, href (as it stands), target (absolute, without its fragment) and label of the anchors of ``pages`` (url,
+    html)."""
     ship(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -57,14 +58,18 @@ def page_anchors(pages: DataFrame) -> DataFrame:
             rows = []
             for url, html in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True):
                 for place, (target, label) in enumerate(anchors(html or "")):
-                    try:
-                        rows.append((url, place, urldefrag(urljoin(url or "", target))[0], label))
-                    except ValueError:  # no address
-                        continue
-            columns = list(zip(*rows, strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.string(), pa.string()), strict=True)], names=["url", "place", "target", "label"])
-
-    return pages.select("url", "html").mapInArrow(run, "url string, place int, target string, label string")
+                    rows.append((url, place, target, _absolute(url or "", target), label))
+            columns = list(zip(*rows, strict=True)) or [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.string(), pa.string(), pa.string()), strict=True)], names=["url", "place", "href", "target", "label"])
+
+    return pages.select("url", "html").mapInArrow(run, "url string, place int, href string, target string, label string")
+
+
+def _absolute(base: str, target: str) -> str | None:
+    try:
+        return urldefrag(urljoin(base, target))[0]
+    except ValueError:  # no address
+        return None
 
 
 def relative_asset(prefix: str, target: str) -> str | None:

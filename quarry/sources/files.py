@@ -119,12 +119,6 @@ def read_xml(spark: SparkSession, path: str, row_tag: str, schema: T.StructType
 # ---- links
 
 
-def links(html_text: Column) -> Column:
-    """Targets of ``a`` and ``area`` elements, in order, as they stand."""
-    found = F.regexp_extract_all(html_text, F.lit(r"""(?is)<(?:a|area)\b[^>]*?\bhref\s*=\s*["']?([^"'\s>]+)"""), F.lit(1))
-    return F.transform(found, lambda u: F.regexp_replace(u, "&amp;", "&"))
-
-
 def markdown_links(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"\[[^\]]*\]\(([^)\s]+)"), F.lit(1))
 

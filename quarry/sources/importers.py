@@ -170,9 +170,3 @@ def registries(files: DataFrame, content: str = "content") -> DataFrame:
         return values.map(lambda v: [{"registry": path, "record_id": record, "text": render_record(fields)} for path, record, fields in registry_records(v)])
 
     return files.select("relative", F.explode(run(F.col(content).cast("string"))).alias("r")).select("relative", "r.*")
-
-
-def guide_steps(html_text: Column) -> Column:
-    """Steps of a repair guide page: the text of each step's lines, in order."""
-    step = F.regexp_extract_all(html_text, F.lit(r"(?is)<(?:div|li|section)\b[^>]*\bclass=[\"'][^\"']*\bstep\b[^\"']*[\"'][^>]*>(.*?)(?=<(?:div|li|section)\b[^>]*\bclass=[\"'][^\"']*\bstep\b|$)"), F.lit(1))
-    return F.transform(step, lambda s: F.trim(F.regexp_replace(F.regexp_replace(s, "<[^>]*>", " "), r"\s+", " ")))

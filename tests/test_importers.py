@@ -71,11 +71,3 @@ def test_json_lines(spark, tmp_path):
     (tmp_path / "y.jsonl").write_text('{"a":1}\n{broken\n')
     with pytest.raises(Exception, match="(?i)malformed"):
         files.read_json_lines(spark, str(tmp_path / "y.jsonl"), "a int").collect()
-
-
-def test_registries_and_guides(spark):
-    df = spark.createDataFrame([("r.xml", bytearray(b"<registry id='r'><title>T</title><record><value>1</value></record></registry>"))], "relative string, content binary")
-    assert tuple(importers.registries(df).first()) == ("r.xml", ["T"], "T#0", "Value: 1")
-    page = "<h1>G</h1><div class='step'><h3>Open</h3><p>Lift it.</p></div><div class='step x'><p>Close.</p></div>"
-    got = spark.createDataFrame([(page,)], "h string").select(importers.guide_steps(F.col("h")).alias("s")).first()["s"]
-    assert got == ["Open Lift it.", "Close."]
