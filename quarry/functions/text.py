@@ -7,7 +7,6 @@ it as null, and what it returns is put over the original: plain rows cross as em
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import html
 import re
@@ -73,30 +72,16 @@ def _where(needed: Column, udf, text: Column, other: Column) -> Column:
     return F.coalesce(udf(F.when(F.coalesce(needed, F.lit(False)), text)), other)
 
 
-@functools.cache
-def _unstable() -> str:
-    """A pattern for the characters with which a text may not be in NFC: those that NFC changes, and those that may
-    join the one before."""
-    points = [p for p in range(0x80, 0x110000) if not 0xD800 <= p < 0xE000]
-    joins = set()
-    for p in points:
-        parts = unicodedata.decomposition(chr(p))
-        if parts and not parts.startswith("<"):
-            joins |= {int(x, 16) for x in parts.split()[1:]}
-    joins |= {*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)}  # vowels and ends of Hangul syllables
-    found = [p for p in points if p in joins or unicodedata.combining(chr(p)) or not unicodedata.is_normalized("NFC", chr(p))]
-    ranges: list[list[int]] = []
-    for p in found:
-        if ranges and ranges[-1][1] == p - 1:
-            ranges[-1][1] = p
-        else:
-            ranges.append([p, p])
-    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]"
+#: Every character below U+0300 is in NFC by itself and joins none.
+_MAY_CHANGE = "[\\x{300}-\\x{10FFFF}]"
+
+
+def _composed(text: str) -> str:
+    return text if unicodedata.is_normalized("NFC", text) else unicodedata.normalize("NFC", text)
 
 
 def nfc(text: Column) -> Column:
-    udf = _on_rows(lambda v: unicodedata.normalize("NFC", v))
-    return _where(text.rlike(_unstable()), udf, text, text)
+    return _where(text.rlike(_MAY_CHANGE), _on_rows(_composed), text, text)
 
 
 def casefold(text: Column) -> Column:

@@ -7,6 +7,7 @@ row, and the best rows of each query are kept with a ranking window, which Spark
 
 from __future__ import annotations
 
+import functools
 import re
 from dataclasses import dataclass
 
@@ -142,9 +143,16 @@ def _idf(n_rows: Column, n: Column) -> Column:
     return F.when(raw <= 0, LEAST_IDF).otherwise(raw)
 
 
+def _anchored(per_row: DataFrame, spread: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(query_id, row_id) of the rows that hold a query's rarest term: all that can hold all of its terms."""
+    rare = wanted.join(spread, "term", "left").groupBy("query_id").agg(F.min_by("term", F.struct(F.coalesce("df", F.lit(0)), "term")).alias("term"))
+    return per_row.select("term", "row_id").join(rare, "term").select("query_id", "row_id").distinct()
+
+
 def match_terms(index: Index, terms: DataFrame, weights: dict[str, float] = WEIGHTS) -> DataFrame:
     """AND and OR queries: (query_id, row_id, raw_score). ``terms`` has query_id, mode, pos, term; a term given twice
-    counts twice. Lower is better."""
+    counts twice. Lower is better. For AND, only rows with the rarest term are looked at; for OR, blocks of query terms
+    go to every row."""
     wanted = terms.where(F.col("mode").isin("and", "or"))
     # dealt by row once: frequencies and the sums of all queries are then made where the row lies
     per_row = (
@@ -158,22 +166,34 @@ def match_terms(index: Index, terms: DataFrame, weights: dict[str, float] = WEIG
     sizes = wanted.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_terms"))
     weighted = wanted.join(spread, "term").join(sizes, "query_id").crossJoin(F.broadcast(index.corpus)).select("query_id", "mode", "n_terms", "term", "avgdl", _idf(F.col("n"), F.col("df")).alias("idf"))  # the corpus is one row
     known = per_row.join(index.lengths, "row_id")
-    blocks = max(1, -(-wanted.count() // MOST_TERMS))
-    out = None
-    for k in range(blocks):
-        block = weighted.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == k)
-        hits = known.join(F.broadcast(block), "term")
-        found = hits.groupBy("query_id", "mode", "n_terms", "row_id").agg(F.sum(_score(F.col("idf"), F.col("f"))).alias("raw_score"), F.count(F.lit(1)).alias("matched"))
-        found = found.where((F.col("mode") == "or") | (F.col("matched") == F.col("n_terms"))).select("query_id", "row_id", "raw_score")
-        out = found if out is None else out.unionByName(found)
-    return out
+    score = F.sum(_score(F.col("idf"), F.col("f"))).alias("raw_score")
+    modes = {r["mode"]: r["n"] for r in wanted.groupBy("mode").agg(F.count(F.lit(1)).alias("n")).collect()}  # one or two rows
+    found = []
+    if modes.get("and"):
+        every = wanted.where("mode = 'and'")
+        candidates = _anchored(per_row, spread, every.select("query_id", "term"))
+        hits = known.join(candidates, "row_id").join(weighted.where("mode = 'and'"), ["query_id", "term"])
+        whole = hits.groupBy("query_id", "n_terms", "row_id").agg(score, F.count(F.lit(1)).alias("matched"))
+        found.append(whole.where("matched = n_terms").select("query_id", "row_id", "raw_score"))
+    blocks = max(1, -(-modes.get("or", 0) // MOST_TERMS))
+    for k in range(blocks if modes.get("or") else 0):
+        block = weighted.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == k).where("mode = 'or'")
+        found.append(known.join(F.broadcast(block), "term").groupBy("query_id", "row_id").agg(score).select("query_id", "row_id", "raw_score"))
+    if not found:
+        return wanted.select("query_id").limit(0).select("query_id", F.lit(None).cast(index.lengths.schema["row_id"].dataType).alias("row_id"), F.lit(0.0).alias("raw_score"))
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 def match_phrases(index: Index, terms: DataFrame, weights: dict[str, float] = WEIGHTS) -> DataFrame:
-    """Phrase queries: the terms next to each other in one field count as one term."""
-    wanted = terms.where(F.col("mode") == "phrase")
+    """Phrase queries: the terms next to each other in one field count as one term. Positions are compared only in rows
+    that hold the rarest term."""
+    wanted = terms.where(F.col("mode") == "phrase").select("query_id", F.col("pos").alias("at"), "term")
     sizes = wanted.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_terms"))
-    places = index.postings.join(wanted.select("query_id", F.col("pos").alias("at"), "term"), "term").select("query_id", "row_id", "field", F.explode("positions").alias("p"), "at")
+    postings = index.postings.join(wanted.select("term").distinct(), "term")
+    spread = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    candidates = _anchored(postings, spread, wanted.select("query_id", "term"))
+    near = postings.join(candidates, "row_id").join(wanted, ["query_id", "term"])
+    places = near.select("query_id", "row_id", "field", F.explode("positions").alias("p"), "at")
     starts = places.groupBy("query_id", "row_id", "field", (F.col("p") - F.col("at")).alias("start")).agg(F.count(F.lit(1)).alias("met"))
     whole = starts.join(sizes, "query_id").where(F.col("met") == F.col("n_terms"))
     per_row = whole.groupBy("query_id", "row_id").agg(F.sum(_weight(F.col("field"), weights)).alias("f"))
