@@ -13,10 +13,12 @@ import re
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.runtime import ship
+
 _ASCII = r"^[\x00-\x7F]*$"
 
 
@@ -140,3 +142,9 @@ def technical_plain(text: str) -> str:
 def technical_normalized(text: Column) -> Column:
     """Only texts that may have a technical name are looked at in Python."""
     return _where(text.rlike(_HINT), _on_rows(technical_plain), text, F.lit(""))
+
+
+def register(spark: SparkSession) -> None:
+    """``technical_normalized(text)`` for SQL; texts without a technical name give an empty string, nulls give null."""
+    ship(spark)
+    spark.udf.register("technical_normalized", _on_rows(technical_plain))

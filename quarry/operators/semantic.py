@@ -96,6 +96,11 @@ def embed(texts: DataFrame, provider: Callable[[list[str]], np.ndarray], column:
     return texts.mapInArrow(run, f"{fields}, embedding array<float>")
 
 
+def instructed(query: str, task: str) -> str:
+    """A query as models that were trained with instructions want it; documents go as they are."""
+    return f"Instruct: {task}\nQuery: {query}" if task else query
+
+
 def keyword_provider(groups: list[list[str]]) -> Callable[[list[str]], np.ndarray]:
     """A deterministic provider without a model: one dimension for each group of key words, and a small constant."""
 

@@ -288,3 +288,12 @@ def test_python_sees_only_the_rows_that_need_it(spark, monkeypatch):
     df = spark.createDataFrame([(t,) for t in ["a"] * 50 + ["\u00c9"] + [None]], "s string")
     got = df.select(text._where(~F.col("s").rlike(text._ASCII), text._on_rows(spy), F.col("s"), F.lower("s")).alias("x")).collect()
     assert [r["x"] for r in got] == ["a"] * 50 + ["\u00e9", None]
+
+
+def test_the_sql_function(spark):
+    from quarry.functions.text import register
+
+    register(spark)
+    got = spark.sql("SELECT technical_normalized(t) AS x FROM VALUES ('uses C++ now'), ('plain'), (NULL) AS v(t)").collect()
+    assert [r["x"] for r in got] == ["uses cpp now", "", None]
+    assert semantic.instructed("q", "find") == "Instruct: find\nQuery: q" and semantic.instructed("q", "") == "q"
