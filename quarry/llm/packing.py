@@ -29,8 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.tokens import encoder
-from quarry.runtime import ship
+from quarry.runtime import give_back, ship
 
+IN_ROWS = 64  # texts that are Python strings at once
+OUT_ROWS = 256
 SCHEMA = "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long"
 
 
@@ -113,28 +115,33 @@ def _packed(p: Packing):
         tokens = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
+            """The window's rows a few at a time, so that no second copy of its ids is made."""
             nonlocal first, tokens
             if not rows:
                 return
             sequence, offset = fewest(np.array([r[3] for r in rows], dtype=np.int64), p)
-            columns = list(zip(*rows, strict=True))
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-            whole = pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)), pa.array(sequence + first), pa.array(offset)], names=["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"])
+            for at in range(0, len(rows), OUT_ROWS):
+                to = at + OUT_ROWS
+                columns = zip(*rows[at:to], strict=True)
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)), pa.array(sequence[at:to] + first), pa.array(offset[at:to])], names=["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"])
             first += int(sequence.max()) + 1
             tokens = 0
             rows.clear()
-            for at in range(0, whole.num_rows, 4096):
-                yield whole.slice(at, 4096)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = encode(text) + end
-                for k, (start, length) in enumerate(pieces(len(ids) // 4, p.tokens)):
-                    rows.append((doc_id, k, start, length, ids[4 * start : 4 * (start + length)]))
-                tokens += len(ids) // 4
-                if tokens >= p.window_tokens:
-                    yield from flush()
+            for at in range(0, batch.num_rows, IN_ROWS):
+                part = batch.slice(at, IN_ROWS)
+                for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                    ids = encode(text) + end
+                    for k, (start, length) in enumerate(pieces(len(ids) // 4, p.tokens)):
+                        rows.append((doc_id, k, start, length, ids[4 * start : 4 * (start + length)]))
+                    tokens += len(ids) // 4
+                    if tokens >= p.window_tokens:
+                        yield from flush()
         yield from flush()
+        batch = part = ids = None  # noqa: F841 - these hold the last rows
+        give_back()
 
     return run
 
