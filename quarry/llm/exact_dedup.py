@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.runtime import numbered, ship, shuffle_partitions, stored
+from quarry.runtime import in_slices, numbered, ship, shuffle_partitions, stored
 
 SPACES = " \t\n\x0b\x0c\r"
 BITS_PER_ROW = 16
@@ -125,9 +125,7 @@ def repeated_bits(hashes: DataFrame, bits: int) -> bytes:
 def _looked_up(table, bits: int, column: str, wanted: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         twice = np.frombuffer(table.value, dtype=np.uint8)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in in_slices(batches):
             at = positions(batch.column(column), bits)
             maybe = ((twice[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=1)
             yield batch.filter(pa.array(maybe if wanted else ~maybe))

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.runtime import numbered, ship, stored
+from quarry.runtime import in_slices, numbered, ship, stored
 
 KINDS = ("assign", "access", "hex", "random")
 
@@ -203,7 +203,7 @@ def _found(columns: list[str]):
     """The columns with two more: base spans and candidates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             base, candidates = [], []
             for text in batch.column("text").to_pylist():
                 b = _base(text or "")
@@ -287,7 +287,7 @@ def mask(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 def _masked(columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             texts, spans = batch.column("text").to_pylist(), batch.column("spans").to_pylist()
             new = [mask(t, [(x["start"], x["kind"], x["end"]) for x in s]) if s else t for t, s in zip(texts, spans, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if n == "text" else batch.column(n) for n in columns], names=columns)

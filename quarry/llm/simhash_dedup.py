@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.runtime import numbered, remove, ship, shuffle_partitions, stored, stored_at
+from quarry.runtime import in_slices, numbered, remove, ship, shuffle_partitions, stored, stored_at
 
 SEED = 42
 RADIUS = 3
@@ -69,7 +69,7 @@ def fingerprint(text: str | None) -> int:
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in in_slices(batches):
         found = np.fromiter((fingerprint(t) for t in batch.column("text").to_pylist()), dtype=np.uint64, count=batch.num_rows)
         kept = [n for n in batch.schema.names if n != "text"]
         yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(found.view(np.int64))], names=[*kept, "fp"])
