@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.operators.corpus import retain_answers
-from quarry.runtime import ship
+from quarry.runtime import column_in_slices, ship
 from quarry.schema import BLOCK
 from quarry.sources.files import read_xml
 from quarry.sources.markup import parse_html, wiki_sections
@@ -24,11 +24,13 @@ PAGE = "title STRING, ns INT, id BIGINT, redirect STRUCT<_VALUE: STRING, _title:
 _SECTION = T.ArrayType(T.StructType([T.StructField("heading_path", T.ArrayType(T.StringType())), T.StructField("text", T.StringType())]))
 
 
-@F.pandas_udf(_SECTION)
-def _sections(values: pd.Series) -> pd.Series:
+def _read_sections(values: pd.Series) -> pd.Series:
     return values.map(lambda v: [{"heading_path": path, "text": body} for path, body in wiki_sections(v or "")])
 
 
+_sections = column_in_slices(_read_sections, _SECTION)
+
+
 def article_url(title: Column) -> Column:
     safe = F.url_encode(F.replace(title, F.lit(" "), F.lit("_")))
     for code, sign in (("%28", "("), ("%29", ")"), ("%21", "!"), ("%27", "'"), ("%2C", ","), ("%7E", "~"), ("%2F", "/")):
@@ -132,11 +134,13 @@ SKIPPED_POSTS = [1_000_000_001, 1_000_000_010]  # fixed values: artificial rows
 _PARSED = T.ArrayType(BLOCK)
 
 
-@F.pandas_udf(_PARSED)
-def html_blocks(values: pd.Series) -> pd.Series:
+def _read_html(values: pd.Series) -> pd.Series:
     return values.map(lambda v: [b._asdict() for b in parse_html(v or "", "").blocks])
 
 
+html_blocks = column_in_slices(_read_html, _PARSED)
+
+
 def posts(rows: DataFrame, users: DataFrame, corpus: str) -> DataFrame:
     """Questions and the answers that stay, as documents; a post's own author name goes before the user's."""
     known = rows.where(~F.col("_Id").isin(SKIPPED_POSTS)).withColumn("kind", F.when(F.col("_PostTypeId") == 1, "question").when(F.col("_PostTypeId") == 2, "answer")).where("kind IS NOT NULL")
@@ -165,8 +169,8 @@ def registries(files: DataFrame, content: str = "content") -> DataFrame:
     """One row for each record of registry XML files: relative, registry, record_id, text."""
     ship(files.sparkSession)
 
-    @F.pandas_udf(_RECORD)
-    def run(values: pd.Series) -> pd.Series:
+    def read(values: pd.Series) -> pd.Series:
         return values.map(lambda v: [{"registry": path, "record_id": record, "text": render_record(fields)} for path, record, fields in registry_records(v)])
 
+    run = column_in_slices(read, _RECORD, 1)
     return files.select("relative", F.explode(run(F.col(content).cast("string"))).alias("r")).select("relative", "r.*")

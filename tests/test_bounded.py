@@ -47,3 +47,18 @@ def test_scores_that_round_alike_rank_by_id(spark):
     rows = spark.createDataFrame([(2, [1.0, 0.0]), (1, [1.0, 2.5e-5])], "vec_id long, embedding array<double>").coalesce(1)
     asked = spark.createDataFrame([(0, [1.0, 0.0])], "query_id long, embedding array<double>")
     assert [r["vec_id"] for r in semantic.top_k(rows, asked, 1).collect()] == [1]
+
+
+def test_pages_are_parsed_a_few_at_a_time():
+    """Of 2000 pages of one batch, at most 64 are held as blocks."""
+    import pandas as pd
+
+    from quarry.sources import importers
+
+    pages = pd.Series(["<h1>T</h1>" + "<p>some words</p>" * 50] * 2000)
+    tracemalloc.start()
+    made = importers.html_blocks.func(iter([pages]) if importers.html_blocks.evalType != 200 else pages)
+    n = sum(len(part) for part in made) if importers.html_blocks.evalType != 200 else len(made)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 2000 and peak < 20e6
