@@ -62,3 +62,21 @@ def test_pages_are_parsed_a_few_at_a_time():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert n == 2000 and peak < 20e6
+
+
+CHUNKS = [(i, f"w{i % 3} w{i % 5} common") for i in range(60)]
+
+
+@pytest.mark.parametrize("mode", ["or", "and"])
+def test_parts_follow_pairs(spark, monkeypatch, mode):
+    """The sums of queries and rows, not the bytes of postings, decide into how many parts rows are dealt."""
+    chunks = spark.createDataFrame(CHUNKS, "row_id long, text string")
+    terms = spark.createDataFrame([(q, mode, p, t) for q in range(8) for p, t in enumerate(("common", f"w{q % 5}"))], "query_id int, mode string, pos int, term string")
+    index = lexical.build_index(chunks, {"text": "text"}, terms, positions=False)
+    rows = lambda: sorted((r["query_id"], r["row_id"], round(r["raw_score"], 9)) for r in lexical.match_terms(index, terms).collect())
+    want = rows()
+    monkeypatch.setattr(lexical, "MOST_PAIRS", 8, raising=False)
+    found = lexical.match_terms(index, terms)
+    assert rows() == want and len(want) > 60
+    found.count()
+    assert found.rdd.getNumPartitions() >= 12
